@@ -104,7 +104,7 @@ def to_long(wide: DataFrame, id_col: str = "Particulars", id_name: str = "city",
                     *[F.col(f"`{p}`").cast("string").alias(p.strip()) for p in periods])
     long = t.unpivot([id_name], [p.strip() for p in periods], period, "_v")
     return long.select(id_name, period, F.col("_v").try_cast("double").alias(value),
-                       F.try_to_date(F.concat(F.lit("01-"), F.col(period)), F.lit("dd-MM-yyyy"))
+                       F.try_to_date(F.concat(F.lit("01-"), F.col(period)), "dd-MM-yyyy")
                        .alias("period_date")).where(F.col(value).isNotNull())
 
 
