@@ -1,3 +1,3 @@
 """Imports every query module so that all queries register."""
 
-from . import q_clean, q_features, q_market, q_sources  # noqa: F401
+from . import q_clean, q_features, q_market, q_models, q_sources  # noqa: F401
