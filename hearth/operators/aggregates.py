@@ -92,18 +92,43 @@ def _running_counts(keys: list[str]):
     return run
 
 
+# A group whose distinct values stay under this bound is answered by Spark's
+# exact ``percentile`` (its value→count map then has a checked size).
+MAX_GROUP_DISTINCT = 1_000_000
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), with_total: bool = False) -> DataFrame:
+                   by: Sequence[str] = (), with_total: bool = False,
+                   max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas "linear", SQL quantile_cont).
 
     Returns long rows ``(by..., [_lvl,] column, q, value)``; groups whose column
     is all null get no row (callers left-join and fall back). With
     ``with_total`` the overall quantiles come along as ``_lvl = 1`` rows.
+
+    A HyperLogLog sketch per group (bounded memory, map-side partial) first
+    checks the largest number of distinct values in any group. Under the bound
+    the built-in exact ``percentile`` runs on pre-combined (value, count)
+    pairs; over it, the range-partitioned rank algorithm below runs, which
+    never holds a group in one task.
     """
     by, cols = list(by), list(cols)
     keys = by + (["_lvl"] if with_total else []) + [COLUMN]
     long = _long(df, cols, by, with_total)
     vc = long.groupBy(*keys, VALUE).agg(F.count(F.lit(1)).alias("_n"))
+    widest = (long.groupBy(*keys).agg(F.approx_count_distinct(VALUE, 0.02).alias("_d"))
+              .agg(F.max("_d")).first()[0] or 0)
+    if widest * 1.1 <= max_group_distinct:
+        pct = F.percentile(F.col(VALUE), [float(p) for p in probs], F.col("_n"))
+        agg = vc.groupBy(*keys).agg(pct.alias("_v"))
+        pz = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias(PROB), F.col("_v").alias(VALUE))
+        return agg.select(*keys, F.explode(pz).alias("_z")).select(
+            *keys, F.col(f"_z.{PROB}").alias(PROB), F.col(f"_z.{VALUE}").alias(VALUE))
+    return _ranked_quantiles(vc, keys, probs)
+
+
+def _ranked_quantiles(vc: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Range-partitioned exact ranks over (group, value, count) rows."""
     ranged = vc.repartitionByRange(*keys, VALUE).sortWithinPartitions(*keys, VALUE)
     # group identity as a JVM-side hash: pandas dtypes of a key column can
     # differ between Arrow batches (int without nulls, float with them)
@@ -115,7 +140,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # Both branches below must see one partition layout (range bounds come
     # from a sample), so the ranked counts are written once to the shared
     # checkpoint folder; this also cuts the lineage for task retries.
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(vc.sparkSession)
     ranked = ranged.mapInPandas(_running_counts(keys), schema).checkpoint(eager=True)
 
     per_part = ranked.groupBy(*keys, "_pid").agg(F.max("_cum").alias("_tot"))
