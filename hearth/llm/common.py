@@ -42,18 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` of a kernel on slices of a batch; the last column of ``df`` is the text (or bytes).
+def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
+    """``mapInArrow`` of a kernel on slices of a batch; the last column of ``df`` is the text, or the row's bytes as a number.
 
-    A slice ends after ``SLICE_BYTES`` of text, so what a kernel holds and returns
-    at once is bounded by that and the longest single text. ``None`` gives no rows.
+    A slice ends after ``limit`` bytes, so what a kernel holds and returns at
+    once is bounded by that and the longest single text. ``None`` gives no rows.
     """
     small_batches(df.sparkSession)
-    limit = SLICE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+            last = batch.column(batch.num_columns - 1)
+            lengths = pc.fill_null(last if pa.types.is_integer(last.type) else pc.binary_length(last), 0).to_pylist()
             at = size = 0
             for i, n in enumerate(lengths, 1):
                 size += n
