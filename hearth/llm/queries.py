@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontam, pieces, simhash, suffixes, tokencount
+from hearth.llm import decontam, pieces, secrets, simhash, suffixes, tokencount
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and places of the base patterns, and all spans."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("bigint")
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+    return found.select(F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"))
+
+
 @query("op5_sentencepiece")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, spans and decoded text of every document, as digests."""
