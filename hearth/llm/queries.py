@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontam, embeddings, pieces, secrets, simhash, suffixes, tokencount
+from hearth.llm import decontam, embeddings, pieces, secrets, simhash, suffixes, tokencount, toxicity
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(found).select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select(F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
