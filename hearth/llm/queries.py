@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontam, embeddings, pieces, secrets, simhash, suffixes, tokencount, toxicity
+from hearth.llm import decontam, embeddings, pieces, quality, quotes, secrets, simhash, suffixes, tokencount, toxicity
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior and score of every document."""
+    found = quality.classify(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "votes", F.round("posterior", 6).alias("posterior"), F.round("score", 6).alias("score"),
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 OP4_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -126,6 +134,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op9_quote_linking")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with its parent, thread and text without quotations; ordered by (conv_id, thread, turn) it is the formatted chat."""
+    found = quotes.link_conversations(table(spark, sf_dir, "conversations"))
+    return found.select(F.col("conv").alias("conv_id"), "turn", "role", F.col("parent").alias("parent_turn"), F.col("thread").alias("thread_turn"),
+                        "depth", "n_quoted", "max_level", "text", "rendered")
+
+
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from the labelled rows that aren't held out."""
