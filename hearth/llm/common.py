@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hearth.session import ensure_checkpoint_dir
 
@@ -42,7 +43,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
+def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` of a kernel on slices of a batch; the last column of ``df`` is the text, or the row's bytes as a number.
 
     A slice ends after ``limit`` bytes, so what a kernel holds and returns at
@@ -66,6 +67,20 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, text_col: str, keep: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows whose text ``keep`` accepts, all columns unchanged; each row is judged on its own, in one pass."""
+    size = "bytes"
+    while size in df.columns:
+        size += "_"
+    at = df.columns.index(text_col)
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept = batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+        return pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
+
+    return map_texts(df.select("*", F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).alias(size)), kernel, df.schema)
+
+
 def arrow(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import arrow, map_texts, written
+from hearth.llm.common import arrow, filter_rows, map_texts, written
 
 WINDOW = 10
 #: Characters of benchmark text that are sent to the executors at once.
@@ -208,7 +208,15 @@ def contamination(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", covered).withColumn("items", items).withColumn("contaminated", F.size("matches") > 0)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that share no window with any item; rows with a null id can't be named and stay."""
-    hit = overlaps(docs, benchmark, id_col, text_col).where(F.size("matches") > 0).select(F.col("id").alias("_hit")).distinct()
-    return docs.join(written(hit, "decontam-hit"), F.col(id_col) == F.col("_hit"), "left_anti")
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows that share no window with any item, all columns unchanged; each row is judged by its own text."""
+    for k, found in enumerate(blocks(benchmark, window=window, chars=chars)):
+        block = docs.sparkSession.sparkContext.broadcast(found)
+
+        def keep(texts: list[str | None], block=block) -> list[bool]:
+            clean = np.ones(len(texts), dtype=bool)
+            clean[matches_in(texts, block.value)[0]] = False
+            return clean.tolist()
+
+        docs = filter_rows(written(docs, "decontam-block") if k else docs, text_col, keep)
+    return docs

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import arrow, map_texts, written
+from hearth.llm.common import arrow, filter_rows, map_texts, written
 
 THRESHOLD = 0.3
 #: Labelled training rows of each label that the model is fitted on, at most (the rows of smallest id hash).
@@ -261,7 +261,13 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score under ``threshold``; rows with a null id can't be named by a decision and stay."""
-    found = scores(docs, train(docs, labels, id_col, text_col), id_col, text_col)
-    gone = written(found.where(F.col("score") >= threshold).select(F.col("id").alias("_gone")).distinct(), "toxicity-rejected")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows that score under ``threshold``, all columns unchanged; every row is judged by its own text, whatever its id."""
+    model = train(docs, labels, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast((model.stems, model.weights))
+    holder: dict[str, Model] = {}
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        m = holder.setdefault("model", Model(*shared.value))
+        return [m.score(t) < threshold for t in texts]
+
+    return filter_rows(docs, text_col, keep)
