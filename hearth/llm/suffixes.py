@@ -213,7 +213,7 @@ def repeated_windows(group: np.ndarray, frags: list[bytes], anchor: np.ndarray,
         hit = use[twice[same]]
         marks.append(np.stack((hit, np.full(len(hit), r))))
     out: list[list[tuple[int, int]]] = [[] for _ in range(m)]
-    if marks:
+    if sum(x.shape[1] for x in marks):
         frag, r = np.concatenate(marks, axis=1)
         by = np.lexsort((r, frag))
         frag, r = frag[by], r[by] - first[frag[by]]
