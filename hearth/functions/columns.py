@@ -29,14 +29,18 @@ def clip(x: ColumnOrName, lo: float | None = None, hi: float | None = None) -> C
     return F.when(x.isNotNull(), y)
 
 
-def nan_to_null(x: ColumnOrName) -> Column:
+def finite(x: ColumnOrName) -> Column:
+    """NaN and infinities → NULL."""
     x = _c(x)
-    return F.when(~F.isnan(x), x)
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
 
 
 def to_number(x: ColumnOrName) -> Column:
-    """Text or number to double; unparsable text becomes NULL (``to_numeric(errors='coerce')``)."""
-    return F.trim(_c(x).cast("string")).try_cast("double")
+    """Text or number to double; unparsable, NaN and infinite values become NULL (``to_numeric(errors='coerce')``).
+
+    Numbers are cast directly; the cast of text ignores surrounding white space.
+    """
+    return finite(_c(x).try_cast("double"))
 
 
 def to_int(x: ColumnOrName, bits: int = 32) -> Column:
@@ -51,8 +55,8 @@ def to_int(x: ColumnOrName, bits: int = 32) -> Column:
 
 
 def excel_date(serial: ColumnOrName) -> Column:
-    """Excel serial day number → date (epoch 1899-12-30)."""
-    return F.date_add(F.lit("1899-12-30").cast("date"), _c(serial).cast("int"))
+    """Excel serial day number (number or text, a fraction is the time of day) → date (epoch 1899-12-30); bad text → NULL."""
+    return F.date_add(F.lit("1899-12-30").cast("date"), to_int(serial))
 
 
 def parse_ts(x: ColumnOrName, fmt: str = "yyyyMMdd'T'HHmmss") -> Column:

@@ -1,177 +1,105 @@
 """Aggregations: exact quantiles, medians, mode, mean/count, null and column profiles.
 
-Exact quantiles never gather a group in one task: values are first counted
-per (group, value) — a shuffle keyed on the value as well, so a hot group
-spreads over many tasks — then range-partitioned on (group, value). Ranks are
-running counts inside each range partition plus the counts of the earlier
-partitions of the same group (a table of at most partitions + groups rows).
-Only the rows that hold the wanted ranks leave that stage.
+Exact quantiles never gather a group in one task, at any size: a sketch
+brackets each quantile, rows below the bracket are only counted, and the few
+rows inside it are counted by value and ranked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import math
+from collections.abc import Iterable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialise
 
 COLUMN, PROB, VALUE = "column", "q", "value"
 
 
-def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str], with_total: bool = False) -> DataFrame:
-    """(by..., [_lvl,] column, value) with nulls and NaN dropped; values as double.
+# Rank error of the sketch that brackets a quantile, as 1/accuracy; it grows with the
+# input so that the values between two brackets stay near SPAN_ROWS.
+MIN_ACCURACY = 1000
+SPAN_ROWS = 100_000
 
-    ``with_total`` also emits every value once more with the keys NULL and
-    ``_lvl = 1`` (the overall group), so per-group and overall statistics
-    come from one scan.
-    """
-    base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    keep_key = F.lit(True)
-    for b in by:  # like pandas groupby: rows without a key join no group
-        keep_key = keep_key & F.col(b).isNotNull()
-    if with_total:
-        lv = F.explode(F.array(F.lit(0), F.lit(1))).alias("_lvl")
-        base = base.select("*", lv).select(
-            *[F.when(F.col("_lvl") == 0, F.col(b)).alias(b) for b in by], "_lvl", *cols)
-        keep_key = (F.col("_lvl") == 1) | keep_key
-        ids = list(by) + ["_lvl"]
-    else:
-        ids = list(by)
-    if len(cols) == 1:
-        long = base.select(*ids, F.lit(cols[0]).alias(COLUMN), F.col(cols[0]).alias(VALUE))
-    else:
-        long = base.unpivot(ids, list(cols), COLUMN, VALUE)
-    return long.where(F.col(VALUE).isNotNull() & ~F.isnan(VALUE) & keep_key)
 
+def _numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The keys and the columns as doubles, NaN as NULL, written once."""
+    values = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(c) for c in cols]
+    return materialise(df.select(*by, *values), "quantile-input")
 
-def _join_keys(a: str, b: str, keys: Sequence[str]):
-    """Null-safe equality on every key between aliases ``a`` and ``b`` (overall rows carry NULL keys).
 
-    Alias-qualified names keep the two sides apart even though both derive
-    from the same frame.
+def _quantiles(wide: DataFrame, cols: list[str], probs: list[float], by: list[str], rows: int) -> DataFrame:
+    """(by..., column, q, value) over a written table: bracket every quantile, then rank what lies between.
+
+    1. A sketch per group and column (map-side combined, bounded memory) gives two
+       values whose ranks enclose the wanted ones: its rank error is 1/accuracy
+       and the brackets lie 2/accuracy away. Groups of few rows take minimum and
+       maximum.
+    2. One pass counts the rows below each bracket, another keeps the rows inside,
+       counted by value. Running counts over those values (about ``SPAN_ROWS`` per
+       group and quantile) give the values at the two ranks.
     """
-    cond = None
-    for k in keys:
-        e = F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
-        cond = e if cond is None else cond & e
-    return cond
-
-
-def _running_counts(keys: list[str]):
-    """mapInPandas body: running count per group inside one sorted range partition."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        last_key, carry = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            gk = pdf["_gk"].to_numpy()
-            cnt = pdf["_n"].to_numpy()
-            start = np.ones(len(pdf), dtype=bool)
-            start[1:] = gk[1:] != gk[:-1]
-            grp = np.cumsum(start) - 1
-            cs = np.cumsum(cnt)
-            first_idx = np.flatnonzero(start)
-            base = np.concatenate([[0], cs[first_idx[1:] - 1]]) if len(first_idx) else np.array([0])
-            cum = cs - base[grp]
-            if gk[0] == last_key:
-                cum[grp == 0] += carry
-            last_key, carry = gk[-1], int(cum[-1])
-            out = pdf.drop(columns=["_gk"])
-            out["_pid"] = np.int32(pid)
-            out["_cum"] = cum.astype(np.int64)
-            yield out
-
-    return run
-
-
-# A group whose distinct values stay under this bound is answered by Spark's
-# exact ``percentile`` (its value→count map then has a checked size).
-MAX_GROUP_DISTINCT = 1_000_000
+    accuracy = max(MIN_ACCURACY, math.ceil(4 * rows / SPAN_ROWS))
+    ends = [e for p in probs for e in (max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy))]
+    for k in by:  # like pandas groupby: rows without a key join no group
+        wide = wide.where(F.col(k).isNotNull())
+    col = lambda i: F.col(f"`{cols[i]}`")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+    sketch = wide.groupBy(*by).agg(*[e for i in range(len(cols)) for e in (
+        F.count(col(i)).alias(f"_n{i}"), F.min(col(i)).alias(f"_min{i}"), F.max(col(i)).alias(f"_max{i}"),
+        F.percentile_approx(col(i), ends, accuracy).alias(f"_b{i}"))])
+    few = lambda i: F.col(f"_n{i}") <= 4 * accuracy
+    sides = sketch.select(*by, *[f"_n{i}" for i in range(len(cols))], *[e for i, j in pairs for e in (
+        F.when(few(i), F.col(f"_min{i}")).otherwise(F.col(f"_b{i}")[2 * j]).alias(f"_lo{i}_{j}"),
+        F.when(few(i), F.col(f"_max{i}")).otherwise(F.col(f"_b{i}")[2 * j + 1]).alias(f"_hi{i}_{j}"))])
+    sides = materialise(sides, "quantile-brackets")
+    if by:
+        beside = lambda df: df.join(sides, by)
+    else:
+        one = sides.first()  # one row of numbers
+        beside = lambda df: df.select("*", *[F.lit(one[c]).cast(t).alias(c) for c, t in sides.dtypes])
+    met = beside(wide)
+    below = met.groupBy(*by).agg(*[F.count_if(col(i) < F.col(f"_lo{i}_{j}")).alias(f"_below{i}_{j}") for i, j in pairs])
+    inside = F.filter(F.array(*[F.when((col(i) >= F.col(f"_lo{i}_{j}")) & (col(i) <= F.col(f"_hi{i}_{j}")),
+                                       F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), col(i).alias("v"))) for i, j in pairs]),
+                      lambda x: x.isNotNull())
+    counted = (met.select(*by, F.explode(inside).alias("x")).groupBy(*by, F.col("x.i").alias("i"), F.col("x.j").alias("j"), F.col("x.v").alias(VALUE))
+               .agg(F.count("*").alias("n")))
+    totals = beside(below).select(*by, F.explode(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias(COLUMN), F.lit(probs[j]).alias(PROB),
+        ((F.col(f"_n{i}") - 1) * probs[j]).alias("h"), F.col(f"_below{i}_{j}").alias("below")) for i, j in pairs])).alias("t")).select(*by, "t.*")
+    order = Window.partitionBy(*by, "i", "j").orderBy(VALUE)
+    ranked = counted.withColumn("upto", F.sum("n").over(order)).join(totals, [*by, "i", "j"])
+    reach = F.col("below") + F.col("upto")
+    at = ranked.groupBy(*by, COLUMN, PROB, "h").agg(
+        F.min(F.when(reach >= F.floor("h") + 1, F.col(VALUE))).alias("lo"), F.min(F.when(reach >= F.ceil("h") + 1, F.col(VALUE))).alias("hi"))
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
+        (F.ceil("h") - F.col("h")) * F.col("lo") + (F.col("h") - F.floor("h")) * F.col("hi"))
+    return at.select(*by, COLUMN, PROB, value.alias(VALUE))
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), with_total: bool = False,
-                   max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
+                   by: Sequence[str] = (), with_total: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas "linear", SQL quantile_cont).
 
     Returns long rows ``(by..., [_lvl,] column, q, value)``; groups whose column
     is all null get no row (callers left-join and fall back). With
-    ``with_total`` the overall quantiles come along as ``_lvl = 1`` rows.
-
-    A HyperLogLog sketch per group (bounded memory, map-side partial) first
-    checks the largest number of distinct values in any group. Under the bound
-    the built-in exact ``percentile`` runs on pre-combined (value, count)
-    pairs; over it, the range-partitioned rank algorithm below runs, which
-    never holds a group in one task.
+    ``with_total`` the overall quantiles come along as ``_lvl = 1`` rows with
+    NULL keys, from the same written input. The result is a written table, so
+    the planner knows that it is small and the rows it is joined to stay put.
     """
-    by, cols = list(by), list(cols)
-    keys = by + (["_lvl"] if with_total else []) + [COLUMN]
-    long = _long(df, cols, by, with_total)
-    vc = long.groupBy(*keys, VALUE).agg(F.count(F.lit(1)).alias("_n"))
-    widest = (long.groupBy(*keys).agg(F.approx_count_distinct(VALUE, 0.02).alias("_d"))
-              .agg(F.max("_d")).first()[0] or 0)
-    if widest * 1.1 <= max_group_distinct:
-        pct = F.percentile(F.col(VALUE), [float(p) for p in probs], F.col("_n"))
-        agg = vc.groupBy(*keys).agg(pct.alias("_v"))
-        pz = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias(PROB), F.col("_v").alias(VALUE))
-        return agg.select(*keys, F.explode(pz).alias("_z")).select(
-            *keys, F.col(f"_z.{PROB}").alias(PROB), F.col(f"_z.{VALUE}").alias(VALUE))
-    return _ranked_quantiles(vc, keys, probs)
-
-
-def _ranked_quantiles(vc: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Range-partitioned exact ranks over (group, value, count) rows."""
-    ranged = vc.repartitionByRange(*keys, VALUE).sortWithinPartitions(*keys, VALUE)
-    # group identity as a JVM-side hash: pandas dtypes of a key column can
-    # differ between Arrow batches (int without nulls, float with them)
-    gk = F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys],
-                    *[F.col(k).isNull() for k in keys]).alias("_gk")
-    ranged = ranged.select("*", gk)
-    schema = T.StructType(vc.schema.fields + [T.StructField("_pid", T.IntegerType()),
-                                              T.StructField("_cum", T.LongType())])
-    # Both branches below must see one partition layout (range bounds come
-    # from a sample), so the ranked counts are written once to the shared
-    # checkpoint folder; this also cuts the lineage for task retries.
-    ensure_checkpoint_dir(vc.sparkSession)
-    ranked = ranged.mapInPandas(_running_counts(keys), schema).checkpoint(eager=True)
-
-    per_part = ranked.groupBy(*keys, "_pid").agg(F.max("_cum").alias("_tot"))
-    w = Window.partitionBy(*keys).orderBy("_pid")
-    offsets = per_part.select(
-        *keys, "_pid", "_tot",
-        (F.sum("_tot").over(w) - F.col("_tot")).alias("_before"),
-        F.sum("_tot").over(Window.partitionBy(*keys)).alias("_size"),
-    )
-    # wanted 1-based ranks per group and probability, and the partition holding each
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias(PROB)
-    h = (F.col("_size") - 1) * F.col(PROB)
-    side = F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), (F.floor(h) + 1).alias("pos")),
-        F.struct(F.lit(1).alias("side"), (F.ceil(h) + 1).alias("pos")))).alias("t")
-    located = (offsets.select("*", pr).select("*", h.alias("_h"), side)
-               .where((F.col("t.pos") > F.col("_before"))
-                      & (F.col("t.pos") <= F.col("_before") + F.col("_tot")))
-               .select(*keys, "_pid", PROB, "_h", F.col("t.side").alias("side"),
-                       (F.col("t.pos") - F.col("_before")).alias("lpos")))
-    r, lc = ranked.alias("r"), located.alias("l")
-    hit = r.join(lc, _join_keys("r", "l", keys + ["_pid"])).where(
-        (F.col("lpos") > F.col("_cum") - F.col("_n")) & (F.col("lpos") <= F.col("_cum")))
-    hit = hit.select(*[F.col(f"l.{k}").alias(k) for k in keys], PROB, "_h", "side", F.col(f"r.{VALUE}").alias(VALUE))
-    res = hit.groupBy(*keys, PROB).agg(
-        F.first("_h").alias("_h"),
-        F.max(F.when(F.col("side") == 0, F.col(VALUE))).alias("_lo"),
-        F.max(F.when(F.col("side") == 1, F.col(VALUE))).alias("_hi"),
-    )
-    frac = F.col("_h") - F.floor("_h")
-    return res.select(*keys, PROB, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias(VALUE))
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    wide = _numeric(df, cols, by)
+    rows = wide.count()
+    out = _quantiles(wide, cols, probs, by, rows)
+    if with_total:
+        overall = _quantiles(wide, cols, probs, [], rows)
+        keys = [F.lit(None).cast(wide.schema[k].dataType).alias(k) for k in by]
+        out = out.withColumn("_lvl", F.lit(0)).unionByName(overall.select(*keys, COLUMN, PROB, VALUE, F.lit(1).alias("_lvl")))
+        out = out.select(*by, "_lvl", COLUMN, PROB, VALUE)
+    return materialise(out, "quantiles")
 
 
 def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -90,7 +90,7 @@ def latest_hpi(wide: DataFrame, row: str, label_col: str = "Particulars",
                default: float = DEFAULT_HPI) -> DataFrame:
     """One row: the latest reading of the row labelled ``row`` (``default`` when absent)."""
     li = latest_index(wide, label_col, default=default).where(F.col(label_col) == row)
-    return li.agg(F.coalesce(F.first("latest_hpi"), F.lit(default)).alias("latest_hpi"))
+    return li.agg(F.coalesce(F.max("latest_hpi"), F.lit(default)).alias("latest_hpi"))  # the highest, if the label repeats
 
 
 def to_long(wide: DataFrame, id_col: str = "Particulars", id_name: str = "city",

@@ -45,8 +45,5 @@ def city_growth_rank(cities: DataFrame) -> DataFrame:
 
 
 def city_matrix(cities: DataFrame) -> DataFrame:
-    """K6: price / yield / inventory / growth per city with its position."""
-    return cities.groupBy("city").agg(
-        F.first("avg_price_cr").alias("avg_price_cr"), F.first("rental_yield").alias("rental_yield"),
-        F.first("inventory_score").alias("inventory_score"), F.first("yoy_growth").alias("yoy_growth"),
-        F.first("lat").alias("lat"), F.first("lon").alias("lon"))
+    """K6: price / yield / inventory / growth per city with its position (the table has one row per city)."""
+    return cities.select("city", "avg_price_cr", "rental_yield", "inventory_score", "yoy_growth", "lat", "lon")

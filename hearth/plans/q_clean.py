@@ -220,8 +220,7 @@ ORD_COLS = ["grade", "sale_year", "view"]
 def q_ordinal(spark: SparkSession, sf: str) -> DataFrame:
     """Ascending category codes; unknown → −1."""
     p = fx.properties(spark, sf)
-    cats = EN.fit_categories(p, ORD_COLS)
-    return p.select("id", *EN.ordinal_columns(cats))
+    return EN.apply_ordinal(p.select("id", *ORD_COLS), EN.fit_ordinal(p, ORD_COLS))
 
 
 SEASONS = ["fall", "spring", "summer", "winter"]
@@ -235,4 +234,4 @@ SEASONS = ["fall", "spring", "summer", "winter"]
 def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """One 0/1 column per season."""
     p = fx.properties(spark, sf).select("id", X.sale_season().alias("sale_season"))
-    return p.select("id", *EN.one_hot_columns(EN.fit_categories(p, ["sale_season"])))
+    return p.select("id", *EN.one_hot_columns(EN.CATEGORIES))

@@ -10,7 +10,7 @@ from ..operators import evaluation as EV
 from ..operators import macro as M
 from ..operators import market as MK
 from ..sources import fixtures as fx
-from ..sources.fixtures import CITY_INDEX_LABELS
+from ..sources.fixture_sql import CITY_INDEX_LABELS
 from . import sqlbits as Q
 from .common import ENTITY, named_series, r6
 from .registry import register

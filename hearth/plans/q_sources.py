@@ -10,7 +10,8 @@ from ..operators import macro as M
 from ..operators import standardise as S
 from ..sources import fixtures as fx
 from ..sources import listings as L
-from ..sources.fixtures import CITY_INDEX_LABELS, RAW_HEADER
+from ..sources.fixture_sql import CITY_INDEX_LABELS
+from ..sources.schemas import RAW_HEADER
 from . import sqlbits as Q
 from .common import ENTITY, enriched, named_series, r6
 from .registry import register
@@ -68,7 +69,7 @@ SELECT "Particulars", {_TRIMMED} FROM city_index_wide
 def q_src_city_index(spark: SparkSession, sf: str) -> DataFrame:
     """Wide city index with header names trimmed."""
     w = L.city_index_from(fx.city_index_wide(spark, sf))
-    return w.select("Particulars", *[r6(c.strip()) for c in CITY_INDEX_LABELS])
+    return w.select("Particulars", *[r6(f"`{c}`", c) for c in w.columns if c != "Particulars"])
 
 
 @register("enriched_listings", "A8", "J1", "C1", "C4", "W3", sql=f"""

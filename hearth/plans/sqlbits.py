@@ -1,6 +1,6 @@
 """SQL snippets shared by oracle queries (DuckDB dialect), written from the formulas."""
 
-from ..sources.fixtures import CITY_INDEX_LABELS
+from ..sources.fixture_sql import CITY_INDEX_LABELS
 
 YOY = """SELECT country_code, "date",
   100 * (price / lag(price, 4) OVER (PARTITION BY country_code ORDER BY "date") - 1) AS price FROM {src}"""
@@ -26,3 +26,41 @@ ENRICHED = """SELECT p.*, m.real_price_yoy, m.real_price_idx, m.nom_price_yoy, m
   h.latest_hpi
 FROM properties p LEFT JOIN (""" + MACRO_BY_YEAR + """) m ON p.sale_year = m.sale_year
 CROSS JOIN (""" + LATEST_HPI + """) h"""
+
+
+SEASON = """CASE WHEN sale_month IN (12, 1, 2) THEN 'winter' WHEN sale_month IN (3, 4, 5) THEN 'spring'
+  WHEN sale_month IN (6, 7, 8) THEN 'summer' ELSE 'fall' END"""
+
+
+def matrix_sql() -> str:
+    """The feature matrix of all listings: scaled numbers, ordinal ranks, season flags, target encoding."""
+    numeric = ["bedrooms", "bathrooms", "sqft_living", "sqft_lot", "floors", "sqft_above", "sqft_basement", "yr_built", "yr_renovated", "lat",
+               "long", "sqft_living15", "sqft_lot15", "schools_nearby", "airport_distance_km", "property_age", "has_renovated",
+               "years_since_renovation", "basement_ratio", "market_demand_index", "size_vs_neighborhood", "school_accessibility",
+               "total_interior_area", "grade_condition_score", "waterfront_view_premium", "real_price_yoy", "real_price_idx", "nom_price_yoy",
+               "nom_price_idx", "latest_hpi"]
+    ordinal = ["waterfront", "view", "condition", "grade", "sale_month", "sale_year", "schools_nearby"]
+    iqr = lambda c: f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)"
+    scaled = ", ".join(f"round(coalesce((f.{c} - s.m{i}) / s.r{i}, 0.0e0), 6) AS {c}" for i, c in enumerate(numeric))
+    stats = ", ".join(f"quantile_cont({c}, 0.5) AS m{i}, CASE WHEN {iqr(c)} = 0 THEN 1.0e0 ELSE {iqr(c)} END AS r{i}" for i, c in enumerate(numeric))
+    ranks = ", ".join(f"CAST(coalesce(o{i}.code, -2) AS INTEGER) AS {c}_ord" for i, c in enumerate(ordinal))
+    joins = " ".join(f"""LEFT JOIN (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT "{c}" AS v FROM f
+                     WHERE "{c}" IS NOT NULL) d) o{i} ON f."{c}" = o{i}.v""" for i, c in enumerate(ordinal))
+    seasons = ", ".join(f"CASE WHEN f.season = '{v}' THEN 1.0e0 ELSE 0.0e0 END AS sale_season_{v}" for v in ("fall", "spring", "summer", "winter"))
+    return f"""
+WITH e AS ({ENRICHED}),
+z AS (SELECT zipcode, quantile_cont(price, 0.5) AS zp, quantile_cont(sqft_living, 0.5) AS zs, avg(price) AS m, count(*) AS n FROM e GROUP BY zipcode),
+g AS (SELECT quantile_cont(price, 0.5) AS gp, quantile_cont(sqft_living, 0.5) AS gs, avg(price) AS prior FROM e),
+f AS (SELECT e.*, greatest(sale_year - yr_built, 0) AS property_age, CASE WHEN yr_renovated > 0 THEN 1 ELSE 0 END AS has_renovated,
+        greatest(CASE WHEN yr_renovated > 0 THEN sale_year - yr_renovated ELSE greatest(sale_year - yr_built, 0) END, 0) AS years_since_renovation,
+        least(greatest(coalesce(sqft_basement / nullif(sqft_living, 0), 0.0e0), 0.0e0), 1.0e0) AS basement_ratio,
+        z.zp / g.gp AS market_demand_index, sqft_living / CASE WHEN z.zs = 0 THEN 1 ELSE z.zs END AS size_vs_neighborhood,
+        CASE WHEN ln(1 + airport_distance_km) <> 0 THEN schools_nearby / ln(1 + airport_distance_km) END AS school_accessibility,
+        sqft_above + sqft_basement AS total_interior_area, grade * "condition" AS grade_condition_score,
+        waterfront * CASE WHEN "view" > 0 THEN 1 ELSE 0 END AS waterfront_view_premium, {SEASON} AS season,
+        (z.n * z.m + 10 * g.prior) / (z.n + 10) AS te
+      FROM e JOIN z ON e.zipcode = z.zipcode CROSS JOIN g),
+s AS (SELECT {stats} FROM f)
+SELECT f.id, round(f.price, 6) AS price, {scaled}, {ranks}, {seasons}, round(f.te, 6) AS zipcode_te
+FROM f CROSS JOIN s {joins}
+"""

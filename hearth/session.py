@@ -1,19 +1,19 @@
-"""Spark session defaults and the shared checkpoint folder.
+"""Spark session defaults, the shared checkpoint folder, and written intermediate tables.
 
-On a cluster the session is created by the platform; ``get_spark`` only fills
-settings that are still unset, so cluster values always win.
+On a cluster the platform configures the session; ``get_spark`` only fills
+settings that are still unset, and sizes nothing outside local mode.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Defaults for local runs (tests, bench). Cluster configs override them.
-LOCAL_DEFAULTS = {
-    "spark.sql.shuffle.partitions": "8",
+# Settings that any session may lack.
+DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -21,32 +21,53 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
 }
+# Sizes for one machine (tests, bench).
+LOCAL_DEFAULTS = {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g"}
 
 
 def get_spark(master: str | None = None, app: str = "hearth", **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    for k, v in {**LOCAL_DEFAULTS, **conf}.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    """The running session, or a new one; a key that the session already has keeps its value, unless ``conf`` names it."""
+    active = SparkSession.getActiveSession()
+    if active is None:
+        builder = SparkSession.builder.appName(app)
+        sizes = {}
+        if master:
+            builder = builder.master(master)
+            sizes = LOCAL_DEFAULTS if master.startswith("local") else {}
+        given = dict(_submitted())
+        for k, v in {**DEFAULTS, **sizes}.items():
+            if k not in given:
+                builder = builder.config(k, v)
+        spark = builder.config(map=conf).getOrCreate() if conf else builder.getOrCreate()
+    else:
+        spark = active
+        for k, v in conf.items():
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _submitted() -> list[tuple[str, str]]:
+    """What spark-submit or the defaults file has set for the context to come."""
+    from pyspark import SparkConf
+
+    return SparkConf().getAll()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only set our own when it is
-    unset (local tests), and then under a fresh scratch folder.
+    A cluster names a folder there that all executors share; without one this
+    raises. Only a local session gets a scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = os.environ.get("HEARTH_SCRATCH") or tempfile.mkdtemp(prefix="hearth-ckpt-")
         d = os.path.join(base, "checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -59,3 +80,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/tables/" + name
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and return the table read back: lineage is cut and the size is known."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import re
 
-from .fixtures import CITY_INDEX_LABELS, CITY_INDEX_YEARS, GROWTH_YEARS, RAW_HEADER
+from .schemas import RAW_HEADER
+
+# SQL must name its columns: the quarters that the driver tables hold at every scale factor.
+CITY_INDEX_LABELS = [f" {m:02d}-{y}" for y in range(1995, 2002) for m in (3, 6, 9, 12)][:-1]
 
 _LISTING = """
 SELECT *, greatest(sqft_living - sqft_basement, 0.0e0) AS sqft_above,
@@ -17,7 +20,8 @@ SELECT *, greatest(sqft_living - sqft_basement, 0.0e0) AS sqft_above,
        50000 + 120 * sqft_living + 15000 * grade + 200000 * waterfront + 20000 * "view"
          - 400 * airport_distance_km + 3000 * (zipcode % 10) + noise AS price
 FROM (
-  SELECT ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber AS id,
+  SELECT l_orderkey * 10000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                                                 l_quantity, l_extendedprice) AS id,
          1 + p_size % 6 AS bedrooms,
          1 + (p_size % 9) * 0.25e0 AS bathrooms,
          400 + l_quantity * 80 + (l_partkey % 7) * 10 AS sqft_living,
@@ -57,7 +61,8 @@ _W = ", ".join(
      else f"100 * q{i} / q0") + f' AS "{lab}"'
     for i, lab in enumerate(CITY_INDEX_LABELS))
 
-_Y0, _Y1 = GROWTH_YEARS
+_Y1 = "(SELECT year(max(o_orderdate) + INTERVAL 1 DAY) - 1 FROM orders)"
+_Y0 = "(SELECT year(max(o_orderdate) + INTERVAL 1 DAY) - 2 FROM orders)"
 
 VIEWS: dict[str, str] = {
     "listing_base": _LISTING,
@@ -121,8 +126,7 @@ SELECT n_name AS "Particulars", {_W}
 FROM (SELECT n_nationkey, n_name, {_Q}
       FROM (SELECT *, concat(' ', lpad(CAST(quarter(o_orderdate) * 3 AS VARCHAR), 2, '0'), '-',
                              CAST(year(o_orderdate) AS VARCHAR)) AS q
-            FROM orders_by_nation
-            WHERE year(o_orderdate) BETWEEN {CITY_INDEX_YEARS[0]} AND {CITY_INDEX_YEARS[1]}) x
+            FROM orders_by_nation) x
       GROUP BY n_nationkey, n_name) w
 """,
     "city_market": f"""

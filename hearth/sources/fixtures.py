@@ -8,27 +8,32 @@ broadcast only where AQE measures a small side at runtime).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .schemas import RAW_HEADER
 from .tables import table
 
 # Condition words of the second-market format, codes 1..5 in order.
 CONDITION_WORDS = ["Poor", "Fair", "Average", "Good", "Very Good"]
 
-# Quarters of the wide city index (two years, quarter-end month labels).
-CITY_INDEX_YEARS = (1996, 1997)
-CITY_INDEX_LABELS = [f" {m:02d}-{y}" for y in CITY_INDEX_YEARS for m in (3, 6, 9, 12)]
+# A listing's key: the order and the line's place in it. Lines of one order are numbered by a
+# window over the join key, so keys neither collide nor overflow (up to 9.2e14 orders).
+LINES_PER_ORDER = 10_000
 
-# City market table: growth of the last full year of orders over the one before.
-GROWTH_YEARS = (1999, 2000)
 
-ID_EXPR = "((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber"
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their listing key; lines of an order are ordered by all columns that a listing uses."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+               "l_linenumber", "l_quantity", "l_extendedprice")
+    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return li.withColumn("listing_id", F.col("l_orderkey") * LINES_PER_ORDER + F.row_number().over(place))
 
 
 def _joined(spark: SparkSession, sf_dir: str, order_cols: tuple[str, ...] = ()) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-               "l_linenumber", "l_quantity", "l_extendedprice")
+    li = _lines(spark, sf_dir)
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", *order_cols)
     p = table(spark, sf_dir, "part", "p_partkey", "p_size")
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
@@ -40,7 +45,7 @@ def _joined(spark: SparkSession, sf_dir: str, order_cols: tuple[str, ...] = ())
 def _listing_columns(j: DataFrame, *keep: str) -> DataFrame:
     c = F.col
     base = j.select(
-        F.expr(ID_EXPR).alias("id"),
+        c("listing_id").alias("id"),
         (1 + c("p_size") % 6).alias("bedrooms"),
         (1 + (c("p_size") % 9) * 0.25).alias("bathrooms"),
         (400 + c("l_quantity") * 80 + (c("l_partkey") % 7) * 10).alias("sqft_living"),
@@ -109,12 +114,23 @@ def properties_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.unionByName(d.where(m(101)))
 
 
+def _text_codes() -> list[Column]:
+    """Flag, condition and date as the second market's text."""
+    c = F.col
+    return [
+        F.when(c("id") % 41 == 0, F.lit("unknown"))
+         .when(c("waterfront") == 1, F.lit("Y")).otherwise(F.lit("N")).alias("waterfront"),
+        F.element_at(F.array(*[F.lit(w) for w in CONDITION_WORDS]), c("condition")).alias("condition"),
+        F.when(c("id") % 43 == 0, F.lit("not a date"))
+         .otherwise(F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss")).alias("date"),
+    ]
+
+
 def properties_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text-typed listing fields as a raw file would deliver them."""
     j = _listing_columns(_joined(spark, sf_dir, ("o_orderpriority",)), "o_orderpriority",
                          "o_orderdate")
     c = F.col
-    words = F.array(*[F.lit(w) for w in CONDITION_WORDS])
     return j.select(
         "id",
         F.concat(F.lit("  "), c("o_orderpriority"), F.lit(" ")).alias("priority"),
@@ -122,46 +138,13 @@ def properties_text(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(c("bedrooms").cast("string")).alias("bedrooms"),
         F.when(c("id") % 37 == 0, F.lit("n/a"))
          .otherwise(c("sqft_living").cast("bigint").cast("string")).alias("sqft_living"),
-        F.when(c("id") % 41 == 0, F.lit("unknown"))
-         .when(c("waterfront") == 1, F.lit("Y")).otherwise(F.lit("N")).alias("waterfront"),
-        F.element_at(words, c("condition")).alias("condition"),
-        F.when(c("id") % 43 == 0, F.lit("not a date"))
-         .otherwise(F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss")).alias("date"),
+        *_text_codes(),
         F.datediff(c("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date"))
          .alias("date_serial"),
         c("price").cast("string").alias("price"),
     )
 
 
-# Raw header of the listing file (fixed values: the file's own column names),
-# in file order, next to the snake_case name each is renamed to.
-RAW_HEADER = [
-    ("id", "id"),
-    ("Date", "date_serial"),
-    ("number of bedrooms", "bedrooms"),
-    ("number of bathrooms", "bathrooms"),
-    ("living area", "sqft_living"),
-    ("lot area", "sqft_lot"),
-    ("number of floors", "floors"),
-    ("waterfront present", "waterfront"),
-    ("number of views", "view"),
-    ("condition of the house", "condition"),
-    ("grade of the house", "grade"),
-    ("Area of the house(excluding basement)", "sqft_above"),
-    ("Area of the basement", "sqft_basement"),
-    ("Built Year", "yr_built"),
-    ("Renovation Year", "yr_renovated"),
-    ("Postal Code", "zipcode"),
-    ("Lattitude", "lat"),
-    ("Longitude", "long"),
-    ("living_area_renov", "sqft_living15"),
-    ("lot_area_renov", "sqft_lot15"),
-    ("Number of schools nearby", "schools_nearby"),
-    ("Distance from the airport", "airport_distance_km"),
-    ("Price", "price"),
-]
-
-
 def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings under the raw file header, with the Excel day number as ``Date``."""
     j = _listing_columns(_joined(spark, sf_dir), "o_orderdate")
@@ -170,12 +153,14 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*[F.col(new).alias(raw) for raw, new in RAW_HEADER])
 
 
+SECOND_MARKET = ["id", "bedrooms", "bathrooms", "sqft_living", "sqft_lot", "floors", "view", "grade", "sqft_above", "sqft_basement",
+                 "yr_built", "yr_renovated", "zipcode", "lat", "long", "sqft_living15", "sqft_lot15", "price"]
+
+
 def second_market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second-market listings: compact timestamp text, Y/N and condition words."""
-    t = properties_text(spark, sf_dir).select("id", "waterfront", "condition", "date")
-    p = properties(spark, sf_dir).drop("waterfront", "condition", "schools_nearby",
-                                        "airport_distance_km", "sale_year", "sale_month", "noise")
-    return p.join(t, "id")
+    j = _listing_columns(_joined(spark, sf_dir), "o_orderdate")
+    return j.select(*SECOND_MARKET, *_text_codes())
 
 
 # ---------------------------------------------------------------- series views
@@ -208,19 +193,30 @@ def series_text(spark: SparkSession, sf_dir: str, nominal: bool = False) -> Data
     return s.select("country_code", F.col("date").cast("string").alias("date"), "price")
 
 
+def order_span(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """First and last order date (one row, from column statistics of the scan)."""
+    r = table(spark, sf_dir, "orders", "o_orderdate").agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b")).first()
+    return r["a"], r["b"]
+
+
+def quarter_labels(first: dt.date, last: dt.date) -> list[str]:
+    """Month-year labels (quarter ends, leading space) of all quarters from ``first`` to ``last``."""
+    span = range(first.year * 4 + (first.month - 1) // 3, last.year * 4 + (last.month - 1) // 3 + 1)
+    return [f" {q % 4 * 3 + 3:02d}-{q // 4}" for q in span]
+
+
 def city_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide quarterly index per nation (100 = first quarter); header names keep a leading space."""
-    j = _orders_by_nation(spark, sf_dir).where(
-        F.year("o_orderdate").between(*CITY_INDEX_YEARS))
+    """Wide quarterly index per nation (100 = first quarter), one column for each quarter of the orders."""
+    labels = quarter_labels(*order_span(spark, sf_dir))
+    j = _orders_by_nation(spark, sf_dir)
     label = F.concat(F.lit(" "), F.lpad((F.quarter("o_orderdate") * 3).cast("string"), 2, "0"),
                      F.lit("-"), F.year("o_orderdate").cast("string"))
     w = (j.withColumn("q", label).groupBy("n_nationkey", "n_name")
-          .pivot("q", CITY_INDEX_LABELS).agg(F.avg("o_totalprice")))
-    first, last = CITY_INDEX_LABELS[0], CITY_INDEX_LABELS[-1]
+          .pivot("q", labels).agg(F.avg("o_totalprice")))
     cols = []
-    for q in CITY_INDEX_LABELS:
-        v = 100 * F.col(f"`{q}`") / F.col(f"`{first}`")
-        if q == last:
+    for q in labels:
+        v = 100 * F.col(f"`{q}`") / F.col(f"`{labels[0]}`")
+        if q == labels[-1]:
             v = F.when(F.col("n_nationkey") % 5 != 0, v)
         cols.append(v.alias(q))
     return w.select(F.col("n_name").alias("Particulars"), *cols)
@@ -229,7 +225,8 @@ def city_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def city_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-nation market table: price level, growth, yield, inventory, position."""
     j = _orders_by_nation(spark, sf_dir)
-    y0, y1 = GROWTH_YEARS
+    y1 = (order_span(spark, sf_dir)[1] + dt.timedelta(days=1)).year - 1  # the last full year
+    y0 = y1 - 1
     yr = F.year("o_orderdate")
     orders_agg = j.groupBy("n_nationkey", "n_name").agg(
         (F.avg("o_totalprice") / 100000).alias("avg_price_cr"),

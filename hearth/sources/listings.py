@@ -2,17 +2,20 @@
 
 Each reader has a file entry point (``read_*``) and a DataFrame entry point
 (``*_from``) so the same logic serves files and already-loaded tables.
-Schemas are given explicitly for CSV: no inference pass over the data.
+CSV files are read with explicit schemas, and their headers are checked against
+them; where a format leaves columns open, the header alone is read first.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import (CONDITION_CODES, WATERFRONT_CODES, code_map, excel_date,
                                  parse_ts)
-from .fixtures import RAW_HEADER
+from ..operators.standardise import drop_columns, with_constants
+from .schemas import LISTINGS, RAW_HEADER, SECOND_MARKET_TEXT, SERIES
 
 PRIMARY_REGION = "india"
 SECOND_REGION = "us_kc"
@@ -20,9 +23,13 @@ SECOND_REGION = "us_kc"
 SECOND_MARKET_STUBS = {"schools_nearby": 2, "airport_distance_km": 35.0}
 
 
-def _csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    return (spark.read.option("header", True).option("encoding", encoding)
-            .option("inferSchema", False).csv(path))
+def _csv(spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("encoding", encoding).csv(path)
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file: one line, no pass over the data."""
+    return spark.read.option("header", True).csv(path).columns
 
 
 # ------------------------------------------------------------------ A1 listings
@@ -33,11 +40,11 @@ def listings_from(raw: DataFrame, region: str = PRIMARY_REGION) -> DataFrame:
     df = raw.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in raw.columns])
     d = excel_date("date_serial")
     df = df.withColumns({"date": d, "sale_year": F.year(d), "sale_month": F.month(d)})
-    return df.drop("date_serial").withColumn("market_region", F.lit(region))
+    return with_constants(drop_columns(df, ["date_serial"]), market_region=region)
 
 
 def read_listings(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    raw = _csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    raw = _csv(spark, path, LISTINGS) if fmt == "csv" else spark.read.format(fmt).load(path)
     return listings_from(raw)
 
 
@@ -52,12 +59,13 @@ def second_market_from(raw: DataFrame, region: str = SECOND_REGION) -> DataFrame
         "date": ts,
     })
     df = df.withColumns({"sale_year": F.year("date"), "sale_month": F.month("date")})
-    return df.withColumns({k: F.lit(v) for k, v in SECOND_MARKET_STUBS.items()}).withColumn(
-        "market_region", F.lit(region))
+    return with_constants(df, **SECOND_MARKET_STUBS, market_region=region)
 
 
 def read_second_market(spark: SparkSession, path: str) -> DataFrame:
-    return second_market_from(_csv(spark, path))
+    schema = T.StructType([T.StructField(c, T.StringType() if c in SECOND_MARKET_TEXT else T.LongType() if c == "id" else T.DoubleType())
+                           for c in _header(spark, path)])
+    return second_market_from(_csv(spark, path, schema))
 
 
 # ------------------------------------------------------------- A3 country series
@@ -73,7 +81,7 @@ def series_from(raw: DataFrame) -> DataFrame:
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
     """Country series files are latin-1 encoded."""
-    return series_from(_csv(spark, path, encoding="ISO-8859-1"))
+    return series_from(_csv(spark, path, SERIES, encoding="ISO-8859-1"))
 
 
 # --------------------------------------------------------------- A4 city index
@@ -84,4 +92,6 @@ def city_index_from(raw: DataFrame) -> DataFrame:
 
 
 def read_city_index(spark: SparkSession, path: str) -> DataFrame:
-    return city_index_from(_csv(spark, path))
+    names = _header(spark, path)
+    schema = T.StructType([T.StructField(c, T.StringType() if k == 0 else T.DoubleType()) for k, c in enumerate(names)])
+    return city_index_from(_csv(spark, path, schema))

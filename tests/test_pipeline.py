@@ -1,12 +1,15 @@
 """Encoders, evaluation, streaming apply, and a few registered queries against their DuckDB oracles."""
 
+import re
+
 import duckdb
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+import pytest
 
 from hearth.operators import encoders as EN
 from hearth.operators import evaluation as EV
+from hearth.session import scratch_path
 from hearth.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -22,10 +25,17 @@ def test_target_encoder_and_scaler(spark):
     assert out[9] == prior and out[None] == prior  # unseen and NULL → prior
     st = EN.fit_robust_scaler(spark.createDataFrame([(0,), (0,), (0,), (0,), (1,)], "w int"), ["w"])
     assert st["w"] == (0.0, 1.0)  # zero IQR → divide by 1, the flag keeps its signal
-    cats = EN.fit_categories(spark.createDataFrame([(10,), (2,), (7,)], "g int"), ["g"])
-    assert cats == {"g": [2, 7, 10]}
-    codes = spark.createDataFrame([(7,), (3,), (None,)], "g int").select(*EN.ordinal_columns(cats)).collect()
-    assert [r["g"] for r in codes] == [1, -1, None]
+    cats = EN.fit_ordinal(spark.createDataFrame([(10, "b"), (2, "a"), (7, None)], "g int, s string"), ["g", "s"])
+    rows = spark.createDataFrame([(7, "b"), (3, "x"), (None, None)], "g int, s string")
+    codes = {(r["g"], r["g_ord"], r["s_ord"]) for r in EN.apply_ordinal(rows, cats, "_ord").collect()}
+    assert codes == {(7, 1, 1), (3, -1, -1), (None, None, None)}
+    assert [r["g"] for r in EN.apply_ordinal(rows.select("g").where("g is null"), {"g": cats["g"]}, null_code=-2).collect()] == [-2]
+
+
+def test_ordinal_takes_many_categories(spark):
+    df = spark.range(50_000).selectExpr("id * 3 AS v").repartition(6)
+    codes = EN.apply_ordinal(df, EN.fit_ordinal(df, ["v"]), "_ord")
+    assert codes.where("v_ord != v / 3").isEmpty() and codes.count() == 50_000
 
 
 def test_metrics_and_folds(spark):
@@ -94,12 +104,65 @@ def test_registered_queries_match_oracle(spark):
         assert a.equals(b), name
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_plan_checks(spark):
-    """Filters reach the scan; the per-year macro table is broadcast; no global window in fixtures."""
-    from hearth.plans.common import enriched
-    ex = spark.read.parquet(f"{SF}/lineitem.parquet").where(F.col("l_quantity") > 10).select("l_orderkey")
-    plan = ex._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
-    e = enriched(spark, SF)
-    assert "BroadcastHashJoin" in e._jdf.queryExecution().executedPlan().toString() or \
-        "BroadcastExchange" in e._jdf.queryExecution().executedPlan().toString()
+    """Filters reach the scans, lookups are broadcasts of small written tables, top-k cuts groups early."""
+    from hearth.operators import features as FE
+    from hearth.operators import knn as KN
+    from hearth.operators import macro as M
+
+    series = fx.series(spark, SF)
+    series.write.mode("overwrite").parquet(path := scratch_path(spark, "test-series"))
+    picked = M.select_series(spark.read.parquet(path), "R0", 1996)
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(country_code,R0\)", _plan(picked))  # F1
+    p = fx.properties(spark, SF)
+    state, te = FE.fit_engineer(p), EN.fit_target_encoder(p, "zipcode")
+    p.write.mode("overwrite").parquet(path := scratch_path(spark, "test-listings"))
+    facts = spark.read.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")  # far under the listings, far over 100 keys
+    try:
+        for out in (FE.engineer(facts, state), EN.apply_target_encoder(facts, te)):  # J2, J3
+            plan = _plan(out)
+            assert "BroadcastHashJoin [zipcode" in plan and "hashpartitioning(zipcode" not in plan.split("Subquery")[0].split("BroadcastExchange")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "WindowGroupLimit" in _plan(KN._first(facts, ["zipcode"], ["price", "id"], 5))  # W4
+
+
+def test_listing_keys_neither_collide_nor_overflow(spark, tmpdir_path):
+    li = [(10**12, 5_000_000, 10**9, 1, 1.0, 2.0), (10**12, 5_000_000, 10**9, 1, 1.0, 2.0), (10**12, 5_000_001, 7, 2, 1.0, 2.0), (10**12 + 1, 1, 1, 1, 1.0, 2.0)]
+    spark.createDataFrame(li, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(
+        f"{tmpdir_path}/lineitem.parquet")
+    keys = [r["listing_id"] for r in fx._lines(spark, tmpdir_path).collect()]
+    assert len(set(keys)) == 4 and all(0 < k < 2**63 for k in keys)
+    p = fx.properties(spark, SF)
+    assert p.select("id").distinct().count() == p.count()
+
+
+def test_group_selection():
+    from pyspark.sql import types as T
+
+    from hearth.operators import features as FE
+
+    schema = T.StructType([T.StructField("price", T.DoubleType()), T.StructField("grade", T.IntegerType()), T.StructField("schools_nearby", T.IntegerType()),
+                           T.StructField("lat", T.DoubleType()), T.StructField("other", T.StringType())])
+    assert FE.select_groups(schema) == {"numeric": ["lat", "schools_nearby"], "ordinal": ["grade", "schools_nearby"], "categorical": [], "target_encode": []}
+    with pytest.raises(TypeError):
+        FE.select_groups(T.StructType([T.StructField("lat", T.StringType())]))
+    with pytest.raises(ValueError):
+        FE.select_groups(schema, shared=())
+
+
+def test_session_keeps_what_is_set(spark):
+    from hearth.session import get_spark
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert get_spark("local[2]").conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
