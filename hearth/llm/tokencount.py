@@ -2,7 +2,7 @@
 
 The cache is a Parquet table (digest, n_tokens) below a folder named after the
 digest of the tokenizer file. Contents are normalised where the tokenizer can't
-tell (runs of ASCII white space), digested, and joined to the cache; one row of
+tell (runs of ASCII white space), digested, and joined to the cache; one text of
 each distinct miss is encoded and the new counts are appended.
 
 A miss is encoded by words: the tokenizer's own pattern cuts the text, and the
@@ -104,19 +104,15 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     digest = content_digest(F.col("text"))
     rows = written(named.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), digest.alias("digest")), "token-rows")
-    first = rows.groupBy("digest").agg(F.min("id").alias("rep"))
-    stored = known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    wanted = first.join(stored.select("digest", F.lit(True).alias("stored")), "digest", "left")
-    # rows that need no encoding: the content is stored, or another row stands for it
-    spared = written(rows.join(wanted, "digest").where(F.col("stored") | (F.col("id") != F.col("rep")))
-                     .select(F.col("id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "token-spared")
-    misses = named.withColumn("digest", digest).join(spared, (F.col("id").eqNullSafe(F.col("_id"))) & (F.col("digest") == F.col("_digest")), "left_anti")
+    stored = known.select("digest").distinct()
+    # one text for each content: copies are combined before they are dealt out
+    misses = (named.select(digest.alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"))
+              .join(stored, "digest", "left_anti"))
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         lib = counter(tokenizer)
         return arrow(digest=batch.column(0), n_tokens=pa.array([lib.count(t or "") for t in batch.column(1).to_pylist()], pa.int64()))
 
-    new = map_texts(misses.select("digest", "text"), kernel, schema).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    new.write.mode("append").parquet(folder)
+    map_texts(misses.select("digest", "text"), kernel, schema).write.mode("append").parquet(folder)
     counts = spark.read.schema(schema).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return rows.join(counts, "digest").select("id", "n_bytes", "n_tokens")
