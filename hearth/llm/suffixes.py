@@ -14,8 +14,8 @@ compared, and the consecutive windows of one anchor travel as one fragment.
   equal when their right part lies in one interval of the suffix order and
   their left part in one of the prefix order.
 * An anchor with more than ``HOT`` different fragments is not brought together:
-  its windows are counted under 128-bit hashes of their own bytes, with
-  map-side combine, which splits it over all tasks.
+  its fragments are cut into shorter ones that meet under their own middle part,
+  again and again until the groups are small or hold equal windows only.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ from hearth.llm.common import arrow, map_texts, written
 SPAN = 400
 GRAM_BITS = 6
 GRAM = 1 << GRAM_BITS
-HOT = 256
+#: Different fragments that one sort takes (under 1 MB), and the parts that fragments of larger groups are cut into.
+HOT = 1024
+SPLIT = 8
 #: Bytes of text whose anchors are found at once.
 CHUNK = 1 << 20
 #: Bytes of fragments that are sorted, or cut into windows, at once.
@@ -260,16 +262,57 @@ def _sort_groups(batch: pa.RecordBatch) -> pa.RecordBatch:
                  ranges=pa.array([[{"a": a, "b": b} for a, b in r] for r in ranges], _RANGES_ARROW))
 
 
-def _windows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Rows (anchor, frag, n, place, text) to one row for each window, with its start and two hashes of its bytes."""
-    cols = {k: [] for k in ("anchor", "frag", "n", "at", "h", "g")}
-    for anchor, frag, n, text in zip(*(batch.column(c).to_pylist() for c in ("anchor", "frag", "n", "text")), strict=True):
-        view = memoryview(text)
-        for at in range(len(text) - SPAN + 1):
-            raw = xxhash.xxh3_128_intdigest(view[at:at + SPAN])
-            for k, v in zip(cols, (anchor, frag, n, at, (raw >> 64) - (1 << 63), (raw & (1 << 64) - 1) - (1 << 63)), strict=True):
-                cols[k].append(v)
-    return arrow(**{k: pa.array(v, pa.int64()) for k, v in cols.items()})
+def _splitter(size: int):
+    """Kernel: rows (anchor, frag, n, place, text) to their sub-fragments of ``size`` windows, blocks counted from the anchor.
+
+    The windows of a block all hold the block's middle part, whatever windows of
+    it a fragment has; sub-fragments meet under the hash of that part.
+    """
+
+    def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: dict[str, list] = {k: [] for k in ("anchor", "frag", "off", "block", "sub", "n", "place", "text")}
+        for anchor, frag, n, place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            first, last = -place, len(text) - SPAN - place  # window starts, from the anchor
+            for block in range(-last // size, -first // size + 1):
+                lo, hi = -(block + 1) * size + 1, -block * size
+                shared = text[place + hi:place + lo + SPAN]
+                at, end = max(lo, first) + place, min(hi, last) + place
+                part = text[at:end + SPAN]
+                name = xxhash.xxh3_64_intdigest(shared + anchor.to_bytes(8, "little", signed=True), block) - (1 << 63)
+                row = (anchor, frag, at, name, xxhash.xxh3_64_intdigest(part, place - at) - (1 << 63), n, place - at, part)
+                for k, v in zip(out, row, strict=True):
+                    out[k].append(v)
+        return arrow(**{k: pa.array(v, pa.binary() if k == "text" else pa.int64()) for k, v in out.items()})
+
+    return kernel
+
+
+def _solve(frags: DataFrame, size: int) -> DataFrame:
+    """(anchor, frag, ranges) of the repeated windows among ``frags`` (anchor, frag, n, kinds, place, text) of ``size`` windows.
+
+    Groups of ``HOT`` kinds or fewer are sorted. The fragments of larger ones are
+    cut into ``SPLIT`` blocks of windows; equal parts collapse and unequal
+    neighbours part, so only the blocks across the edge of a common passage stay
+    large, and they end as single windows, which are equal throughout.
+    """
+    few = (frags.where(F.col("kinds") <= HOT).groupBy("anchor").agg(F.collect_list(F.struct("frag", "n", "place", "text")).alias("frags"))
+           .withColumn("bytes", F.aggregate("frags", F.lit(0).cast("bigint"), lambda n, x: n + F.octet_length(x["text"]))))
+    by_sort = map_texts(few, _sort_groups, f"anchor bigint, frag bigint, ranges {_RANGES}", GROUP_BYTES).where(F.size("ranges") > 0)
+    hot = frags.where(F.col("kinds") > HOT)
+    if size == 1 or hot.isEmpty():
+        return by_sort
+    size = -(-size // SPLIT)
+    parts = written(map_texts(hot.select("anchor", "frag", "n", "place", "text"), _splitter(size),
+                              "anchor bigint, frag bigint, off bigint, block bigint, sub bigint, n bigint, place bigint, text binary", GROUP_BYTES), "suffix-parts")
+    subs = parts.groupBy("block", "sub").agg(F.sum("n").alias("n"), F.first("place").alias("place"), F.first("text").alias("text"))
+    subs = written(subs, "suffix-subs")
+    kinds = subs.groupBy("block").agg(F.count("*").alias("kinds"))
+    subs = written(subs.join(kinds, "block").select(F.col("block").alias("anchor"), F.col("sub").alias("frag"), "n", "kinds", "place", "text"), "suffix-frags")
+    solved = _solve(subs, size).select(F.col("anchor").alias("block"), F.col("frag").alias("sub"), "ranges")
+    moved = F.transform("ranges", lambda x: F.struct((x["a"] + F.col("off")).alias("a"), (x["b"] + F.col("off")).alias("b")))
+    back = (parts.select("anchor", "frag", "off", "block", "sub").join(solved, ["block", "sub"])
+            .groupBy("anchor", "frag").agg(F.flatten(F.collect_list(moved)).alias("ranges")))
+    return by_sort.unionByName(back)
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -317,15 +360,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     frags = written(texts.join(chosen.distinct(), ["d", "rid"])
                     .select("anchor", "frag", "n", "kinds", (F.col("place") - F.col("lo")).alias("place"),
                             F.expr(f"substring(text, int(lo) + 1, int(hi - lo) + {SPAN})").alias("text")), "suffix-frags")
-    few = (frags.where(F.col("kinds") <= HOT).groupBy("anchor").agg(F.collect_list(F.struct("frag", "n", "place", "text")).alias("frags"))
-           .withColumn("bytes", F.aggregate("frags", F.lit(0).cast("bigint"), lambda n, x: n + F.octet_length(x["text"]))))
-    by_sort = map_texts(few, _sort_groups, f"anchor bigint, frag bigint, ranges {_RANGES}", GROUP_BYTES)
-    windows = written(map_texts(frags.where(F.col("kinds") > HOT).select("anchor", "frag", "n", "text"), _windows_of,
-                                "anchor bigint, frag bigint, n bigint, at bigint, h bigint, g bigint", GROUP_BYTES), "suffix-windows")
-    twice = windows.groupBy("anchor", "h", "g").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
-    by_count = (windows.join(twice, ["anchor", "h", "g"]).groupBy("anchor", "frag")
-                .agg(F.collect_set(F.struct(F.col("at").alias("a"), F.col("at").alias("b"))).alias("ranges")))
-    sorted_ = written(by_sort.where(F.size("ranges") > 0).unionByName(by_count), "suffix-sorted")
+    sorted_ = written(_solve(frags, SPAN - GRAM + 1), "suffix-sorted")
 
     some = (mixed.join(sorted_, ["anchor", "frag"]).select("d", "rid", "lo", F.explode("ranges").alias("x"))
             .select("d", "rid", (F.col("lo") + F.col("x.a")).alias("a"), (F.col("lo") + F.col("x.b") + SPAN).alias("b")))
