@@ -134,7 +134,38 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-@query("op9_quote_linking")
+OP9_SQL = r'''
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM conversations),
+told AS (
+  SELECT conv_id, turn, len(marks) - len(replace(marks, '>', '')) AS level,
+         trim(regexp_replace(lower(regexp_replace(line, '^([ 	]*>)+', '')), '\s+', ' ', 'g')) AS body
+  FROM (SELECT conv_id, turn, line, regexp_extract(line, '^([ 	]*>)+') AS marks
+        FROM (SELECT conv_id, turn, unnest(ls) AS line FROM base WHERE conv_id IS NOT NULL AND turn IS NOT NULL))),
+lines AS (SELECT * FROM told WHERE regexp_matches(body, '[\p{L}\p{N}]')),
+origin AS (SELECT conv_id, body, min(turn) AS source FROM lines WHERE level = 0 GROUP BY ALL),
+linked AS (SELECT l.conv_id, l.turn, l.level, CASE WHEN o.source < l.turn THEN o.source END AS source
+           FROM lines l LEFT JOIN origin o ON l.conv_id = o.conv_id AND l.body = o.body WHERE l.level > 0),
+votes AS (SELECT conv_id, turn, level, source, count(*) AS n FROM linked GROUP BY ALL),
+best AS (SELECT conv_id, turn, source AS parent FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, source DESC) AS k
+                                                      FROM votes WHERE source IS NOT NULL) WHERE k = 1),
+sums AS (SELECT conv_id, turn, sum(n) AS n_quoted, max(level) AS max_level FROM votes GROUP BY ALL),
+chain AS (SELECT conv_id, turn, parent AS thread, 1 AS depth FROM best
+          UNION ALL SELECT c.conv_id, c.turn, b.parent, c.depth + 1 FROM chain c JOIN best b ON c.conv_id = b.conv_id AND c.thread = b.turn),
+place AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM chain GROUP BY ALL),
+own AS (SELECT conv_id, turn, role, CASE WHEN NOT regexp_matches(t, '(?m)^[ 	]*>') THEN t ELSE
+          trim(regexp_replace(array_to_string(list_filter(ls, lambda x, i: NOT regexp_matches(x, '^[ 	]*>') AND NOT
+            (regexp_matches(x, '^[^>]*\b(wrote|writes|schrieb|a écrit|escribió):[ 	]*$') AND regexp_matches(coalesce(ls[i + 1], ''), '^[ 	]*>'))), chr(10)),
+            '\n{3,}', chr(10) || chr(10), 'g'), chr(10) || ' ' || chr(9)) END AS text FROM base)
+SELECT o.conv_id, o.turn, o.role, b.parent AS parent_turn, coalesce(p.thread, o.turn) AS thread_turn, coalesce(p.depth, 0) AS depth,
+       CAST(coalesce(s.n_quoted, 0) AS BIGINT) AS n_quoted, coalesce(s.max_level, 0) AS max_level, o.text,
+       '<|' || o.role || '|>' || chr(10) || o.text || chr(10) AS rendered
+FROM own o LEFT JOIN best b ON o.conv_id = b.conv_id AND o.turn = b.turn LEFT JOIN sums s ON o.conv_id = s.conv_id AND o.turn = s.turn
+LEFT JOIN place p ON o.conv_id = p.conv_id AND o.turn = p.turn
+'''
+
+
+@query("op9_quote_linking", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message with its parent, thread and text without quotations; ordered by (conv_id, thread, turn) it is the formatted chat."""
     found = quotes.link_conversations(table(spark, sf_dir, "conversations"))

@@ -6,6 +6,7 @@ import re
 import struct
 from collections import Counter
 
+import duckdb
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -256,6 +257,11 @@ def test_quotation_links(spark):
     assert [t for t in sorted((r["thread"], k[1]) for k, r in got.items() if k[0] == "c")] == [(1, 1), (1, 2), (1, 4), (3, 3), (3, 6), (5, 5)]
     assert got["c", 2]["text"] == "Fine, thanks." and got["c", 4]["text"] == "Good." and got["c", 4]["max_level"] == 2 and got["d", 2]["parent"] is None
     assert got[None, 1]["rendered"] == "<|user|>\n\n"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id VARCHAR, turn INTEGER, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    mine = quotes.link_conversations(df).select("conv", "turn", "role", "parent", "thread", "depth", "n_quoted", "max_level", "text", "rendered")
+    assert Counter(tuple(r) for r in mine.collect()) == Counter(con.execute(ORACLES["op9_quote_linking"]).fetchall())
     assert quotes.link_conversations(df.limit(0)).isEmpty()
 
 
