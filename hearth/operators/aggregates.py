@@ -8,9 +8,9 @@ rows inside it are counted by value and ranked.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -24,7 +24,7 @@ MIN_ACCURACY = 1000
 SPAN_ROWS = 100_000
 
 
-def _numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+def numeric_input(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """The keys and the columns as doubles, NaN as NULL, written once."""
     values = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(c) for c in cols]
     return materialise(df.select(*by, *values), "quantile-input")
@@ -81,7 +81,7 @@ def _quantiles(wide: DataFrame, cols: list[str], probs: list[float], by: list[st
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), with_total: bool = False) -> DataFrame:
+                   by: Sequence[str] = (), with_total: bool = False, stored: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas "linear", SQL quantile_cont).
 
     Returns long rows ``(by..., [_lvl,] column, q, value)``; groups whose column
@@ -89,9 +89,10 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``with_total`` the overall quantiles come along as ``_lvl = 1`` rows with
     NULL keys, from the same written input. The result is a written table, so
     the planner knows that it is small and the rows it is joined to stay put.
+    ``stored`` says that ``df`` is a ``numeric_input`` already.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
-    wide = _numeric(df, cols, by)
+    wide = df if stored else numeric_input(df, cols, by)
     rows = wide.count()
     out = _quantiles(wide, cols, probs, by, rows)
     if with_total:
@@ -104,12 +105,12 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), name=lambda c, p: f"{c}_p{round(p * 100):02d}",
-                   with_total: bool = False) -> DataFrame:
+                   with_total: bool = False, stored: bool = False) -> DataFrame:
     """Quantiles as one row per group, one column per (column, probability).
 
     With ``with_total`` the overall row comes too, keys NULL and ``_lvl = 1``.
     """
-    qt = quantile_table(df, cols, probs, by, with_total)
+    qt = quantile_table(df, cols, probs, by, with_total, stored)
     lab_map = {f"{c}\u0001{float(p)}": name(c, p) for c in cols for p in probs}
     key = F.concat_ws("\u0001", F.col(COLUMN), F.col(PROB).cast("string"))
     ids = list(by) + (["_lvl"] if with_total else [])
@@ -136,9 +137,9 @@ def global_median(df: DataFrame, col: str, alias: str | None = None) -> DataFram
 
 
 def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-            with_total: bool = False) -> DataFrame:
+            with_total: bool = False, stored: bool = False) -> DataFrame:
     """Medians of several columns in one pass; columns named ``<col>`` (one row per group)."""
-    return quantiles_wide(df, cols, [0.5], by, name=lambda c, p: c, with_total=with_total)
+    return quantiles_wide(df, cols, [0.5], by, name=lambda c, p: c, with_total=with_total, stored=stored)
 
 
 def mode_of(df: DataFrame, col: str, by: Sequence[str] = (), alias: str | None = None) -> DataFrame:
@@ -186,20 +187,17 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                                   "p25", "p50", "p75", "max")
 
 
-def audit(steps: Iterable[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """(step_no, step, rows_in, rows_out, removed) for each (name, before, after).
+def audit(df: DataFrame, copies: str, steps: Sequence[tuple[str, Column]]) -> DataFrame:
+    """(step_no, step, rows_in, rows_out, removed): deduplication, then filters, in one aggregation.
 
-    Each count is one aggregate over the step's own frame; the counts are
-    unioned and pivoted into one row per step.
+    ``df`` holds every distinct row once with its number of copies; each filter
+    applies to what the ones before it kept.
     """
-    parts = []
-    for i, (name, before, after) in enumerate(steps):
-        for side, frame in (("rows_in", before), ("rows_out", after)):
-            parts.append(frame.agg(F.count(F.lit(1)).alias("n")).select(
-                F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.lit(side).alias("side"), "n"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    w = u.groupBy("step_no", "step").pivot("side", ["rows_in", "rows_out"]).agg(F.first("n"))
-    return w.select("step_no", "step", "rows_in", "rows_out",
-                    (F.col("rows_in") - F.col("rows_out")).alias("removed"))
+    kept, counts = F.lit(True), [F.sum(copies).alias("n0"), F.count("*").alias("n1")]
+    for i, (_, condition) in enumerate(steps):
+        kept = kept & F.coalesce(condition, F.lit(False))
+        counts.append(F.count_if(kept).alias(f"n{i + 2}"))
+    names = ["dedup", *(name for name, _ in steps)]
+    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(f"n{i}").alias("rows_in"), F.col(f"n{i + 1}").alias("rows_out"))
+                     for i, name in enumerate(names)])
+    return df.agg(*counts).select(F.explode(rows).alias("r")).select("r.*", (F.col("r.rows_in") - F.col("r.rows_out")).alias("removed"))

@@ -12,6 +12,7 @@ from ..operators import evaluation as EV
 from ..operators import impute as IM
 from ..operators import outliers as OU
 from ..operators import standardise as S
+from ..session import materialise
 from ..sources import fixtures as fx
 from .common import r6
 from .registry import register
@@ -131,11 +132,11 @@ UNION ALL SELECT 2, 'fence', (SELECT count(*) FROM l), (SELECT count(*) FROM f),
 """)
 def q_cleaning_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in / out of each cleaning step."""
-    d0 = fx.properties_dirty(spark, sf)
-    d1 = S.dedup(d0)
-    d2 = IM.drop_unlabelled(d1)
-    d3 = OU.fence_filter(d2)
-    return A.audit([("dedup", d0, d1), ("drop_unlabelled", d1, d2), ("fence", d2, d3)])
+    d = fx.properties_dirty(spark, sf)
+    rows = materialise(d.groupBy(*d.columns).agg(F.count("*").alias("copies")), "audit-rows")
+    bounds = OU.fence_bounds(rows, "price")  # rows without a price don't count in a quantile
+    inside = F.col("price").between(bounds.select("lower").scalar(), bounds.select("upper").scalar())
+    return A.audit(rows, "copies", [("drop_unlabelled", F.col("price").isNotNull()), ("fence", inside)])
 
 
 PROFILE_COLS = ["price", "sqft_living", "bathrooms", "yr_built"]
