@@ -42,7 +42,7 @@ def parents(messages: DataFrame) -> DataFrame:
     A line belongs to the first message that wrote it. Ties between parents go
     to the later message.
     """
-    talk = messages.select(F.col("conv").alias("c")).where(F.col("quotes")).distinct()
+    talk = written(messages.where("quotes").select(F.col("conv").alias("c")).distinct(), "quote-conversations")
     told = written(lines(messages.join(talk, F.col("conv") == F.col("c"), "left_semi")), "quote-lines")
     origin = told.where("level = 0").groupBy("conv", "hash").agg(F.min("turn").alias("source"))
     quoted = told.where("level > 0")

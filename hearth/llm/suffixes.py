@@ -347,6 +347,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                               "anchor bigint, frag bigint, d bigint, rid bigint, lo bigint, hi bigint, place bigint"), "suffix-anchors")
     seen = (marks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("frag").alias("f"), F.max("frag").alias("g"))
             .where("n > 1").select("anchor", (F.col("f") != F.col("g")).alias("mixed")))
+    seen = written(seen, "suffix-seen")  # a join of two plain exchanges can split an anchor that a third of the texts share
     again = written(marks.join(seen, "anchor"), "suffix-again")
 
     # one fragment of each kind, with its count, where an anchor has several kinds

@@ -115,4 +115,5 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
 
     map_texts(misses.select("digest", "text"), kernel, schema).write.mode("append").parquet(folder)
     counts = spark.read.schema(schema).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = written(counts, "token-counts")  # a join of two plain exchanges can split the digest of a frequent text
     return rows.join(counts, "digest").select("id", "n_bytes", "n_tokens")
