@@ -157,6 +157,19 @@ def q_score_band(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("id", r6("pred"), r6("lo"), r6("hi"))
 
 
+@register("score_macro_defaults", "M8", sql=f"""
+SELECT id, round(real_price_idx * 0.05e0, 6) AS real_price_yoy,
+       round(CASE WHEN sale_year % 2 = 0 THEN nom_price_yoy ELSE nom_price_idx * 0.06e0 END, 6) AS nom_price_yoy
+FROM ({Q.ENRICHED}) e
+WHERE nom_price_yoy IS NOT NULL
+""")
+def q_macro_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Growth rates of scoring rows: absent (real) or NULL in odd years (nominal), filled from the indices."""
+    e = enriched(spark, sf).where("nom_price_yoy is not null").drop("real_price_yoy")
+    e = e.withColumn("nom_price_yoy", F.when(F.col("sale_year") % 2 == 0, F.col("nom_price_yoy")))
+    return SC.with_macro_defaults(e).select("id", r6("real_price_yoy"), r6("nom_price_yoy"))
+
+
 RULE_SQL = """greatest(sqft_living * 950.0e0 + grade * 120000.0e0 + bathrooms * 85000.0e0 + "view" * 60000.0e0
   + waterfront * 350000.0e0 + airport_distance_km * -2500.0e0, 1200000.0e0)"""
 

@@ -79,6 +79,18 @@ def q_vif_pair(spark: SparkSession, sf: str) -> DataFrame:
         "column", r6("vif"), "infinite")
 
 
+VIF_THREE = ["sqft_living", "sqft_lot", "grade"]
+
+
+@register("vif_three", "H3", sql=" UNION ALL ".join(f"""
+SELECT '{a}' AS "column", round((1 - pow(corr({b}, {c}), 2)) / (1 + 2 * corr({a}, {b}) * corr({a}, {c}) * corr({b}, {c})
+       - pow(corr({a}, {b}), 2) - pow(corr({a}, {c}), 2) - pow(corr({b}, {c}), 2)), 6) AS vif, false AS infinite FROM properties"""
+    for a, b, c in (VIF_THREE, VIF_THREE[1:] + VIF_THREE[:1], VIF_THREE[2:] + VIF_THREE[:2])))
+def q_vif_three(spark: SparkSession, sf: str) -> DataFrame:
+    """Three-column VIF: the diagonal of the inverse correlation matrix (closed form, oracle-checked)."""
+    return CO.vif_report(fx.properties(spark, sf), VIF_THREE).select("column", r6("vif"), "infinite")
+
+
 @register("vif_prune", "H3", "U4")
 def q_vif_prune(spark: SparkSession, sf: str) -> DataFrame:
     """Columns dropped by iterative VIF pruning (threshold 10), in order."""
