@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,12 @@ class Hasher:
         return places, counts / max(1, len(words))
 
 
+@lru_cache(maxsize=1)
+def hasher() -> Hasher:
+    """One per worker, so that words are hashed once for all batches."""
+    return Hasher()
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> np.ndarray:
     """Weights (the last one the intercept) of a logistic scorer for soft labels, by full-batch adaptive gradient steps."""
     at = np.repeat(np.arange(len(rows)), [len(p) for p, _ in rows])
@@ -164,9 +171,8 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     taken = named.join(F.broadcast(written(picked.distinct(), "quality-sample")), "id").dropDuplicates(["id"])
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hasher = Hasher()
         texts = batch.column(0).to_pylist()
-        rows = [hasher(t) for t in texts]
+        rows = [hasher()(t) for t in texts]
         goal = [by_text.get("".join(letters[v] for v in votes(t)), 0.5) for t in texts]
         return arrow(place=pa.array([p for p, _ in rows], pa.list_(pa.int32())), value=pa.array([v for _, v in rows], pa.list_(pa.float32())), goal=pa.array(goal, pa.float64()))
 
@@ -181,10 +187,9 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     def rate(batch: pa.RecordBatch) -> pa.RecordBatch:
         table, w = shared.value
-        hasher = Hasher()
         texts = batch.column(1).to_pylist()
         cast = ["".join(letters[v] for v in votes(t)) for t in texts]
-        z = np.array([(v * w[p]).sum() + w[-1] for p, v in map(hasher, texts)])
+        z = np.array([(v * w[p]).sum() + w[-1] for p, v in map(hasher(), texts)])
         return arrow(id=batch.column(0), votes=pa.array(cast, pa.string()), posterior=pa.array([table[c] for c in cast], pa.float64()),
                      score=pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))), pa.float64()))
 
