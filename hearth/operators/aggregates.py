@@ -37,7 +37,8 @@ def _quantiles(wide: DataFrame, cols: list[str], probs: list[float], by: list[st
        values whose ranks enclose the wanted ones: its rank error is 1/accuracy
        and the brackets lie 2/accuracy away. Groups of few rows take minimum and
        maximum.
-    2. One pass counts the rows below each bracket, another keeps the rows inside,
+    2. Equal brackets are the quantile: both ranks lie among the copies of that value.
+    3. Elsewhere one pass counts the rows below a bracket, another keeps the rows inside,
        counted by value. Running counts over those values (about ``SPAN_ROWS`` per
        group and quantile) give the values at the two ranks.
     """
@@ -62,14 +63,15 @@ def _quantiles(wide: DataFrame, cols: list[str], probs: list[float], by: list[st
         beside = lambda df: df.select("*", *[F.lit(one[c]).cast(t).alias(c) for c, t in sides.dtypes])
     met = beside(wide)
     below = met.groupBy(*by).agg(*[F.count_if(col(i) < F.col(f"_lo{i}_{j}")).alias(f"_below{i}_{j}") for i, j in pairs])
-    inside = F.filter(F.array(*[F.when((col(i) >= F.col(f"_lo{i}_{j}")) & (col(i) <= F.col(f"_hi{i}_{j}")),
+    inside = F.filter(F.array(*[F.when((F.col(f"_lo{i}_{j}") < F.col(f"_hi{i}_{j}")) & (col(i) >= F.col(f"_lo{i}_{j}")) & (col(i) <= F.col(f"_hi{i}_{j}")),
                                        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), col(i).alias("v"))) for i, j in pairs]),
                       lambda x: x.isNotNull())
     counted = (met.select(*by, F.explode(inside).alias("x")).groupBy(*by, F.col("x.i").alias("i"), F.col("x.j").alias("j"), F.col("x.v").alias(VALUE))
                .agg(F.count("*").alias("n")))
     totals = beside(below).select(*by, F.explode(F.array(*[F.struct(
         F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias(COLUMN), F.lit(probs[j]).alias(PROB),
-        ((F.col(f"_n{i}") - 1) * probs[j]).alias("h"), F.col(f"_below{i}_{j}").alias("below")) for i, j in pairs])).alias("t")).select(*by, "t.*")
+        ((F.col(f"_n{i}") - 1) * probs[j]).alias("h"), F.col(f"_below{i}_{j}").alias("below"),
+        F.col(f"_lo{i}_{j}").alias("first"), F.col(f"_hi{i}_{j}").alias("last")) for i, j in pairs])).alias("t")).select(*by, "t.*")
     order = Window.partitionBy(*by, "i", "j").orderBy(VALUE)
     ranked = counted.withColumn("upto", F.sum("n").over(order)).join(totals, [*by, "i", "j"])
     reach = F.col("below") + F.col("upto")
@@ -77,7 +79,8 @@ def _quantiles(wide: DataFrame, cols: list[str], probs: list[float], by: list[st
         F.min(F.when(reach >= F.floor("h") + 1, F.col(VALUE))).alias("lo"), F.min(F.when(reach >= F.ceil("h") + 1, F.col(VALUE))).alias("hi"))
     value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
         (F.ceil("h") - F.col("h")) * F.col("lo") + (F.col("h") - F.floor("h")) * F.col("hi"))
-    return at.select(*by, COLUMN, PROB, value.alias(VALUE))
+    tied = totals.where(F.col("first") == F.col("last")).select(*by, COLUMN, PROB, F.col("first").alias(VALUE))
+    return at.select(*by, COLUMN, PROB, value.alias(VALUE)).unionByName(tied)
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -31,6 +31,17 @@ def test_quantiles_match_numpy(spark, accuracy, monkeypatch):
         assert abs(got[(None, 1, p)] - np.nanquantile(v, p)) < 1e-9
 
 
+def test_quantiles_of_few_values(spark, monkeypatch):
+    """Many ties: brackets that coincide, beside a column whose brackets differ."""
+    monkeypatch.setattr(A, "MIN_ACCURACY", 20)
+    rng = np.random.default_rng(8)
+    x, y = rng.choice([1.0, 2.0, 7.0], 500, p=[0.3, 0.45, 0.25]), rng.normal(size=500)
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, y double")
+    probs = [0.25, 0.3, 0.5, 0.75]
+    got = {(r["column"], r["q"]): r["value"] for r in A.quantile_table(df, ["x", "y"], probs).collect()}
+    assert all(abs(got[c, p] - np.quantile(v, p)) < 1e-12 for c, v in (("x", x), ("y", y)) for p in probs) and len(got) == 8
+
+
 def test_mode_smallest_on_ties(spark):
     df = spark.createDataFrame([(1, 3), (1, 1), (1, 3), (1, 1), (2, 5), (2, None)], "k int, v int")
     got = {r["k"]: r["v"] for r in A.mode_of(df, "v", by=["k"]).collect()}
