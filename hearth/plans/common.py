@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import macro as M
+from ..session import materialise
 from ..sources import fixtures as fx
 
 # The fixture entity that plays the reference's aggregate "5R", and the city-index
@@ -21,7 +22,9 @@ def r6(c: str | Column, name: str | None = None) -> Column:
 
 def named_series(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The four macro inputs: yoy and index of the real and nominal series."""
-    real, nom = fx.series(spark, sf), fx.series_nominal(spark, sf)
+    # a few rows for each quarter, written once: the four series below would each aggregate the orders again
+    real = materialise(fx.series(spark, sf), "series")
+    nom = fx.series_nominal(spark, sf, real)
     return {"real_price_yoy": M.yoy_series(real), "real_price_idx": real,
             "nom_price_yoy": M.yoy_series(nom), "nom_price_idx": nom}
 

@@ -181,8 +181,9 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.avg("o_totalprice").alias("price")))
 
 
-def series_nominal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = series(spark, sf_dir)
+def series_nominal(spark: SparkSession, sf_dir: str, real: DataFrame | None = None) -> DataFrame:
+    """The nominal series; ``real`` is the real one, if it is at hand."""
+    s = series(spark, sf_dir) if real is None else real
     return s.select("country_code", "date",
                     (F.col("price") * (1 + 0.03 * (F.year("date") - 1995))).alias("price"))
 
