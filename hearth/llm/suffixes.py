@@ -306,7 +306,7 @@ def _solve(frags: DataFrame, size: int) -> DataFrame:
                               "anchor bigint, frag bigint, off bigint, block bigint, sub bigint, n bigint, place bigint, text binary", GROUP_BYTES), "suffix-parts")
     subs = parts.groupBy("block", "sub").agg(F.sum("n").alias("n"), F.first("place").alias("place"), F.first("text").alias("text"))
     subs = written(subs, "suffix-subs")
-    kinds = subs.groupBy("block").agg(F.count("*").alias("kinds"))
+    kinds = written(subs.groupBy("block").agg(F.count("*").alias("kinds")), "suffix-sizes")
     subs = written(subs.join(kinds, "block").select(F.col("block").alias("anchor"), F.col("sub").alias("frag"), "n", "kinds", "place", "text"), "suffix-frags")
     solved = _solve(subs, size).select(F.col("anchor").alias("block"), F.col("frag").alias("sub"), "ranges")
     moved = F.transform("ranges", lambda x: F.struct((x["a"] + F.col("off")).alias("a"), (x["b"] + F.col("off")).alias("b")))
@@ -354,7 +354,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rank = F.xxhash64("d", "rid", "lo")
     mixed = again.where("mixed")
     kinds = mixed.groupBy("anchor", "frag").agg(F.count("*").alias("n"), F.min(rank).alias("rank"))
-    kinds = written(kinds.join(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor"), "suffix-kinds")
+    kinds = written(kinds, "suffix-kinds")
+    kinds = written(kinds.join(written(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "suffix-sizes"), "anchor"), "suffix-kinds")
     chosen = (mixed.join(kinds, ["anchor", "frag"]).where(rank == F.col("rank"))
               .select("d", "rid", "anchor", "frag", "n", "kinds", "lo", "hi", "place"))
     texts = written(long_.join(again.select("d", "rid").distinct(), ["d", "rid"]).select("d", "rid", "text").dropDuplicates(["d", "rid"]), "suffix-texts")
