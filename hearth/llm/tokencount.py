@@ -5,8 +5,8 @@ digest of the tokenizer file. Contents are normalised where the tokenizer can't
 tell (runs of ASCII white space), digested, and joined to the cache; one text of
 each distinct miss is encoded and the new counts are appended.
 
-A miss is encoded by words: the tokenizer's own pattern cuts the text, and the
-distinct words go to the library once per worker. Texts with characters whose
+A miss is encoded by words: the tokenizer's own pattern cuts what stands between
+white space, and the distinct words go to the library's model once per worker. Texts with characters whose
 treatment might differ between libraries go to the tokenizer whole.
 """
 
@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from hearth.llm.common import arrow, map_texts, written
 from hearth.session import ensure_checkpoint_dir
@@ -39,30 +40,45 @@ class Counter:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
+        self.model = self.lib.model
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.words = regex.compile(WORDS)
+        self.pattern = regex.compile(WORDS)
+        self.spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.words: dict[str, int] = {}
+        self.chunks: dict[str, int] = {}
         self.by_word = self._splits_alike()
-        self.cache: dict[str, int] = {}
 
     def _splits_alike(self) -> bool:
-        """Whether this file cuts a probe as WORDS does; other files are always given whole texts."""
+        """Whether this file cuts and counts a probe as the word path does; other files are always given whole texts."""
         probe = "it's a ünïté of 12 \t tests, isn't it?! we'll see... 'dogs' ¡ok!"
-        pre, norm = self.lib.pre_tokenizer, self.lib.normalizer
-        if pre is None or norm is None or '"Lowercase"' not in self.lib.to_str() or WORDS.replace("\\", "\\\\") not in self.lib.to_str():
+        config, pre = self.lib.to_str(), self.lib.pre_tokenizer
+        if pre is None or '"Lowercase"' not in config or WORDS.replace("\\", "\\\\") not in config or '"ByteLevel"' not in config:
             return False
-        return [probe[a:b] for _, (a, b) in pre.pre_tokenize_str(probe)] == self.words.findall(probe)
+        cut = [probe[a:b] for _, (a, b) in pre.pre_tokenize_str(probe)]
+        return cut == self.pattern.findall(probe) and self._by_chunks(probe) == len(self.lib.encode(probe, add_special_tokens=False))
+
+    def _word(self, word: str) -> int:
+        n = self.words.get(word)
+        if n is None:
+            n = self.words[word] = len(self.model.tokenize(word if word.isascii() else self.spell(word)[0][0]))
+        return n
+
+    def _by_chunks(self, text: str) -> int:
+        """Sum over what stands between white space; no word of the pattern holds any."""
+        chunks = text.lower().split()
+        for cache in (self.chunks, self.words):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+        known = self.chunks
+        for chunk in set(chunks):
+            if chunk not in known:
+                known[chunk] = sum(map(self._word, self.pattern.findall(chunk)))
+        return sum(map(known.__getitem__, chunks))
 
     def count(self, text: str) -> int:
         if not self.by_word or not PLAIN.fullmatch(text) or any(s in text for s in self.special):
             return len(self.lib.encode_batch_fast([text], add_special_tokens=False)[0])
-        words = self.words.findall(text.lower())
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            cache.update(zip(new, map(len, self.lib.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        return sum(map(cache.__getitem__, words))
+        return self._by_chunks(text)
 
 
 @lru_cache(maxsize=4)
