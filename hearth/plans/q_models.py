@@ -7,6 +7,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,17 +139,11 @@ def q_feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 def _cv(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     folds = TR.make_folds(enriched(spark, sf))
-    out = materialise(TR.cross_validate(folds, kind, QUERY_PARAMS[kind]), "cv")
+    out = materialise(TR.cross_validate(folds, kind, TR.DEFAULTS[kind]), "cv")
     folds.release()
     return out.select("fold", "n", r6("r2"), r6("mae"), r6("rmse"))
 
 
-# What the queries ask of the operators, whose own defaults are the full search: the linear
-# candidate is searched in full, tree ensembles are cross-validated at these sizes.
-QUERY_PARAMS = {**TR.DEFAULTS, "gbt": {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}, "forest": {"numTrees": 20, "maxDepth": 8}}
-QUERY_TRIALS = {"linear": TR.TRIALS}
-
-
 @register("model_gbt", "M1", "M5", "C10")
 def q_model_gbt(spark: SparkSession, sf: str) -> DataFrame:
     """3-fold CV of gradient-boosted trees (fold-safe features)."""
@@ -169,19 +164,19 @@ def q_model_linear(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("tuning_trials", "M4")
 def q_tuning(spark: SparkSession, sf: str) -> DataFrame:
-    """Seeded random search of the linear candidate, the full number of trials, each a 2-fold CV."""
+    """Seeded random search of every candidate, the full number of trials, each a 2-fold CV."""
     folds = TR.make_folds(enriched(spark, sf), TR.TUNE_FOLDS)
-    out = TR.tune(folds, "linear")
+    out = reduce(DataFrame.unionByName, [TR.tune(folds, kind) for kind in TR.SPACES])
     folds.release()
     return out.select("candidate", "trial", "params", r6("r2_mean"), r6("mae_mean"))
 
 
 def _artefacts(spark: SparkSession, sf: str) -> str:
     """Folder of the finished training run on ``sf``; trains and writes it if there is none (A5)."""
-    run = hashlib.sha256(json.dumps([sf, QUERY_PARAMS, QUERY_TRIALS], sort_keys=True).encode()).hexdigest()[:16]
+    run = hashlib.sha256(json.dumps([sf, TR.DEFAULTS, TR.TRIALS], sort_keys=True).encode()).hexdigest()[:16]
     path = SK.default_path(spark, f"artefacts-{run}")
     if not SK.is_complete(spark, path):
-        res = TR.train(enriched(spark, sf), trials=QUERY_TRIALS, params=QUERY_PARAMS)
+        res = TR.train(enriched(spark, sf))
         SK.save_run(spark, TR.report_frame(spark, res.report), res.importances, res.state, res.model, path)
     return path
 

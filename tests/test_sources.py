@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hearth.functions import columns as X
 from hearth.operators import encoders as EN
 from hearth.operators import training as TR
+from hearth.plans import q_models as QM
 from hearth.sources import fixtures as fx
 from hearth.sources import listings as L
 from hearth.sources import sinks as SK
@@ -102,3 +103,30 @@ def test_missing_ordinals_do_not_reach_the_vector(spark):
     m = EN.apply_features(p, EN.fit_features(p), vector=False)
     assert m.where("grade_ord is null or grade_ord = -2").count() == p.where("grade is null").count() > 0
     assert m.where("grade_ord is null").isEmpty()
+
+
+def test_model_queries_ask_for_the_full_search(spark, monkeypatch):
+    """No query cuts rounds, trees, trials or candidates below the operators' own defaults."""
+    asked = []
+    scores = spark.createDataFrame([(0, 1, 0.5, 1.0, 1.0)], "fold int, n long, r2 double, mae double, rmse double")
+
+    def train(df, *args, **kwargs):
+        asked.append(("train", args, kwargs))
+        raise StopIteration
+
+    monkeypatch.setattr(QM, "enriched", lambda spark, sf: None)
+    monkeypatch.setattr(TR, "make_folds", lambda df, *a: TR.Folds([(scores, scores)]))
+    monkeypatch.setattr(TR, "cross_validate", lambda folds, kind, params: asked.append((kind, params)) or scores)
+    monkeypatch.setattr(TR, "train", train)
+    QM.q_model_gbt(spark, SF)
+    QM.q_model_forest(spark, SF)
+    assert asked == [("gbt", TR.DEFAULTS["gbt"]), ("forest", TR.DEFAULTS["forest"])]
+    assert TR.DEFAULTS["gbt"]["maxIter"] >= 200 and TR.DEFAULTS["forest"]["numTrees"] >= 200
+    asked.clear()
+    with pytest.raises(StopIteration):
+        QM.q_train_report(spark, SF)
+    assert asked == [("train", (), {})]
+    trials = []
+    monkeypatch.setattr(TR, "tune", lambda folds, kind: trials.append(kind) or spark.createDataFrame(
+        [(kind, 0, "{}", 0.1, 0.1)], "candidate string, trial int, params string, r2_mean double, mae_mean double"))
+    assert QM.q_tuning(spark, SF).count() == 3 and trials == ["gbt", "forest", "linear"]
