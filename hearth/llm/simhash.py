@@ -114,15 +114,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near duplicates: of each component the row with the smallest id stays, once.
+    """The documents without near duplicates: of each component one row stays, that of the smallest id.
 
-    Rows repeated under one id count as one document. A decision can't name a
-    row with a null id: such rows stay.
+    Rows are named by id, text digest and a hash of the other columns, so an id
+    with different texts has a row in each of their components; of several rows
+    of the smallest id the one of the smallest digest stays. A decision can't
+    name a row with a null id: such rows stay.
     """
-    dups = written(near_duplicates(docs, id_col, text_col), "simhash-classes")
-    gone = dups.where(F.col("id") != F.col("component")).select(F.col("id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    if dups.where("id is not null").groupBy("id").count().where("count > 1").isEmpty():
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    name = F.when(key.isNotNull(), F.struct(key.alias("id"), F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)).alias("digest"), text.isNull().alias("none"),
+                                            (F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0).cast("bigint")).alias("rest")))
+    dups = written(near_duplicates(docs.select(name.alias("id"), text.alias("text")), "id", "text"), "simhash-classes")
+    gone = dups.where("id != component").select(F.col("id").alias("_gone")).distinct()
+    kept = docs.join(gone, name == F.col("_gone"), "left_anti")
+    if dups.where("id = component").groupBy("id").count().where("count > 1").isEmpty():
         return kept
-    return (kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-            .unionByName(kept.where(F.col(id_col).isNull())))
+    # what is left under one id and text are copies of one row
+    return kept.where(key.isNotNull()).dropDuplicates([id_col, text_col]).unionByName(kept.where(key.isNull()))

@@ -90,6 +90,22 @@ def test_simhash(spark, odd, empty):
     assert simhash.near_duplicates(empty).isEmpty() and simhash.keep_one(empty).isEmpty()
 
 
+def test_keep_one_decides_by_row(spark):
+    texts = [prose(80, 200 + i) for i in range(6)]
+    rows = [(0, t, i) for i, t in enumerate(texts[:4])]  # one id, four texts that aren't near
+    rows += [(3, texts[4], 9), (5, texts[4].upper(), 8), (5, texts[5], 7), (5, texts[5], 7), (7, texts[5], 6), (8, None, 1), (8, "", 1), (None, texts[5], 1)]
+    rows += [(2, texts[4], 5), (2, texts[4].upper(), 4), (2, texts[4], 3)]  # copies that differ in case and another column
+    want = None
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        got = Counter(tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)).collect())
+        assert want in (None, got)
+        want = got
+    assert Counter((i, t) for (i, t, _), n in got.items() if i == 0 for _ in range(n)) == Counter((0, t) for t in texts[:4])
+    assert got[5, texts[5], 7] == 1 and got[None, texts[5], 1] == 1 and not [r for r in got if r[0] in (3, 7)]
+    assert sum(n for r, n in got.items() if r[0] == 2) == sum(n for r, n in got.items() if r[0] == 8) == 1 and sum(got.values()) == 8
+
+
 @pytest.mark.parametrize("hot", [2, 64])
 def test_simhash_links(spark, hot):
     rng = random.Random(9)
