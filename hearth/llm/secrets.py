@@ -5,7 +5,8 @@ the text at their matches. Beside them, long token-like candidates are scanned
 with a sliding window: its character counts change by the two characters that
 leave and enter, and the window's Shannon entropy follows from the sum of
 c * log2(c). Each character class has its own window and threshold, and an
-allow-list suppresses words, numbers, identifiers, rules and placeholders.
+allow-list suppresses words, numbers, identifiers, rules, and the parts between
+separators that hold placeholders.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 #: One case, capitalised or digits, alone or joined by separators: words, numbers, identifiers, paths, rules of dashes.
-PLAIN_PARTS = r"^([A-Z]?[a-z]*+|[A-Z]++|[0-9]++)([-_/+=]++([A-Z]?[a-z]*+|[A-Z]++|[0-9]++))*+$"
+PLAIN_PART = r"([0-9]++|[A-Z]++(?![a-z])|[A-Z]?[a-z]++)?+"
+PLAIN_PARTS = rf"^{PLAIN_PART}([-_/+=]++{PLAIN_PART})*+$"
 PLACEHOLDER = r"(?i)example|placeholder|changeme|your[-_]?(key|token|secret|password)|x{6}|0123456789|abcdefghij"
-UUID = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+#: What lies between separators, and placeholders that hold one. Possessive, so that Java repeats it without recursion.
+PART = r"((?i:your[-_](key|token|secret|password))|[A-Za-z0-9])++"
+UUID = r"(?i)^[-_/+=]*+[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}[-_/+=]*+$"
 
 
 @dataclass(frozen=True)
@@ -99,10 +103,22 @@ def _entropy_span(c: Column, cls: CharClass) -> Column:
     return F.when(n >= w, F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["end"].alias("end"))))
 
 
+def _blanked(text: Column) -> Column:
+    """The text with blanks for the parts that hold a placeholder: no window reaches into them, what stands beside them is judged alone."""
+    zipped = F.arrays_zip(F.split(text, PART, -1).alias("gap"), F.regexp_extract_all(text, F.lit(PART), F.lit(0)).alias("part"))
+
+    def shown(x: Column) -> Column:
+        part = F.coalesce(x["part"], F.lit(""))
+        return F.concat(x["gap"], F.when(part.rlike(PLACEHOLDER), F.repeat(F.lit(" "), F.length(part))).otherwise(part))
+
+    return F.when(text.rlike(CANDIDATE) & text.rlike(PLACEHOLDER), F.array_join(F.transform(zipped, shown), "")).otherwise(text)
+
+
 def entropy_spans(text: Column) -> Column:
     """Spans of high entropy inside the candidates that the allow-list doesn't suppress."""
+    text = _blanked(text)
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    suspect = F.transform(found, lambda m: ~(m.rlike(PLAIN_PARTS) | m.rlike(PLACEHOLDER) | m.rlike(UUID)))
+    suspect = F.transform(found, lambda m: ~(m.rlike(PLAIN_PARTS) | m.rlike(UUID)))
     places = _located(text, CANDIDATE, found, suspect, 0)
     strings = F.filter(F.arrays_zip(found.alias("s"), suspect.alias("ok")), lambda x: x["ok"])
     # held in the array before the scan, so that the letters are split and numbered once

@@ -147,6 +147,19 @@ def test_secrets(spark, odd, empty):
     assert clean.where("doc_id is null or doc_id < 14").exceptAll(odd.where("doc_id is null or doc_id < 14")).isEmpty()
 
 
+def test_allow_list(spark):
+    """Paths, dates and constants are plain; a placeholder suppresses its own part only."""
+    key = "zQ8r+T1vK9/xW3mB7pL5nC2dF6hJ4sG0"
+    plain = ["/blog/2023/07/why-fixed-speed-limits", "2024-01-15/quick-brown-jumps", "MAX_BUFFER_LENGTH_IN_KB", "WORLD_HEALTH_QUICK_BUMPS", "Some-Title_OF/12/parts-Joined=",
+             "path/to/some/very/long/file/name", "EXAMPLEkeyEXAMPLEzQ8rT1vK9xW3", "example/123e4567-e89b-12d3-a456-426614174000", "my-your_secret-goes/here/2024/01",
+             "example/2023/07/why-fixed-speed-limits", "your-key" * 4000, "Ab-" * 9000]
+    keys = [f"example/{key}", f"{key}/example", f"é see example/{key}=placeholder ok", f"your-key/{key}", f"example {key}", f"changeme_{key}-" + "x" * 8 + f"-{key}"]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(plain + keys)), "id int, text string"), "id").collect()
+    found = {r["id"]: [r["text"][s["start"]:s["end"]].strip("-_/=") for s in r["spans"] if s["rank"] == 4] for r in rows}
+    assert {plain[i]: found[i] for i in range(len(plain)) if found[i]} == {}
+    assert [found[len(plain) + i] for i in range(len(keys))] == [[key] * text.count(key) for text in keys]
+
+
 def test_window_entropy(spark):
     """The incremental sums give the entropy of every window."""
     import math
