@@ -367,7 +367,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     some = (mixed.join(sorted_, ["anchor", "frag"]).select("d", "rid", "lo", F.explode("ranges").alias("x"))
             .select("d", "rid", (F.col("lo") + F.col("x.a")).alias("a"), (F.col("lo") + F.col("x.b") + SPAN).alias("b")))
     every = again.where("not mixed").select("d", "rid", F.col("lo").alias("a"), (F.col("hi") + SPAN).alias("b"))
-    ranges = every.unionByName(some).groupBy("d", "rid").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    # a set: rows that repeat a text under one id have equal ranges, however many they are
+    ranges = every.unionByName(some).groupBy("d", "rid").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
     cut = map_texts(texts.join(ranges, ["d", "rid"]).select("d", "rid", "ranges", "text"), _cut, f"d bigint, rid bigint, spans {_RANGES}, kept binary")
     slim = keyed.select("id", "d", "rid", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
     return (slim.join(written(cut, "suffix-cut"), ["d", "rid"], "left")

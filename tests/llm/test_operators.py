@@ -259,6 +259,23 @@ def test_repeats(spark, odd, empty, hot, monkeypatch):
     assert suffixes.repeats(empty).isEmpty()
 
 
+def test_repeated_rows_share_their_ranges(spark, monkeypatch):
+    """Rows of one text under one id, or without an id, hand each range to the cut once."""
+    rows = [(i, t) for t in (PASSAGE + " " + prose(40, 301), prose(40, 302) + " " + PASSAGE) for i in (1, 1, 1, None, None, None)]
+    cut = suffixes._cut
+
+    def checked(batch):
+        for ranges in batch.column("ranges").to_pylist():
+            if len(ranges) != len({(x["a"], x["b"]) for x in ranges}):
+                raise ValueError("equal ranges")
+        return cut(batch)
+
+    monkeypatch.setattr(suffixes, "_cut", checked)
+    got = suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # every text is copied, so nothing of it is left
+    assert len(got) == len(rows) and all([tuple(s) for s in r["spans"]] == [(0, r["n_bytes"])] and not r["kept"] for r in got)
+
+
 def test_decontamination(spark, odd, empty):
     for chars in (decontam.BLOCK_CHARS, 20):  # one block of items, or many
         found = decontam.contamination(decontam.overlaps(odd, benchmark(spark), chars=chars))
