@@ -1,16 +1,19 @@
 """Chat formatting by quotation linking.
 
-Quoted lines (``>`` marks, nested) are parsed to level and text, normalised and
-hashed, and joined to the messages of the conversation that wrote the line. The
-message that wrote most of the lines quoted at the outermost level is the
-parent. Threads are found by pointer doubling over parents; a conversation in
+Quoted lines (``>`` marks, nested) are parsed to level and text. Each run of
+lines of one level is a passage: normalised with white space and line breaks
+folded, hashed, and joined to the passages of the conversation's earlier
+messages; the latest earlier message that wrote it is its source. The lines of
+a passage that nobody wrote as a whole are joined singly, each to the message
+that wrote it first. The message that is the source of most lines quoted at the
+outermost level is the parent. Threads are found by pointer doubling over parents; a conversation in
 reply order is its messages by (thread, turn), since a parent's turn is always
 smaller. What is quoted is cut from the texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm.common import written
@@ -27,28 +30,57 @@ def own_text(text: Column) -> Column:
     return F.when(text.rlike(QUOTED), F.btrim(F.regexp_replace(cut, r"\n{3,}", "\n\n"), F.lit("\n \t"))).otherwise(text)
 
 
-def lines(messages: DataFrame) -> DataFrame:
-    """(conv, turn, level, hash) of every line with letters or digits; level 0 is the message's own."""
-    line = messages.select("conv", "turn", F.explode(F.split("text", "\n", -1)).alias("line"))
-    marks = F.regexp_extract("line", MARKS, 0)
-    body = F.btrim(F.regexp_replace(F.lower(F.regexp_replace("line", MARKS, "")), r"\s+", " "))
-    return (line.select("conv", "turn", (F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))).alias("level"), body.alias("body"))
-            .where(F.col("body").rlike(r"[\p{L}\p{N}]")).select("conv", "turn", "level", F.sha2("body", 256).alias("hash")))
+def passages(messages: DataFrame) -> DataFrame:
+    """(conv, turn, level, hash, lines) of every run of lines of one level; level 0 is the message's own.
+
+    ``lines`` are the hashes of the run's lines. Lines without letters or digits
+    belong to no run and part none.
+    """
+    def parsed(line: Column) -> Column:
+        marks = F.regexp_extract(line, MARKS, 0)
+        body = F.btrim(F.regexp_replace(F.lower(F.regexp_replace(line, MARKS, "")), r"\s+", " "))
+        return F.struct((F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))).alias("level"), body.alias("body"))
+
+    said = F.filter(F.transform(F.split("text", "\n", -1), parsed), lambda x: x["body"].rlike(r"[\p{L}\p{N}]"))
+    # one-element explodes hold the arrays, which later expressions use several times
+    held = messages.select("conv", "turn", F.explode(F.array(said)).alias("said")).where(F.size("said") > 0)
+    begins = F.filter(F.sequence(F.lit(0), F.size("said") - 1), lambda i: (i == 0) | (F.col("said")[i]["level"] != F.col("said")[F.greatest(i - 1, F.lit(0))]["level"]))
+    held = held.select("conv", "turn", "said", F.explode(F.array(begins)).alias("begins"))
+    run = held.select("conv", "turn", "said", F.posexplode("begins").alias("k", "at"), F.col("begins"))
+    end = F.coalesce(F.get("begins", F.col("k") + 1), F.size("said"))
+    run = run.select("conv", "turn", F.explode(F.array(F.slice("said", F.col("at") + 1, end - F.col("at")))).alias("run"))
+    return run.select("conv", "turn", F.col("run")[0]["level"].alias("level"), F.sha2(F.array_join("run.body", " "), 256).alias("hash"),
+                      F.transform("run.body", lambda body: F.sha2(body, 256)).alias("lines"))
+
+
+def sources(quoted: DataFrame, own: DataFrame) -> DataFrame:
+    """(conv, hash, turn, source) of the quoted passages: the latest earlier message that wrote the passage, null if there is none."""
+    asked = quoted.select("conv", "hash", "turn").distinct()
+    wrote = own.join(asked.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi").select("conv", "hash", "turn").distinct()
+    # in turn order, a message's quotations before its own text: the last writer so far is an earlier message
+    both = asked.withColumn("wrote", F.lit(0)).unionByName(wrote.withColumn("wrote", F.lit(1)))
+    so_far = Window.partitionBy("conv", "hash").orderBy("turn", "wrote").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (both.withColumn("source", F.last(F.when(F.col("wrote") == 1, F.col("turn")), ignorenulls=True).over(so_far))
+            .where("wrote = 0").select("conv", "hash", "turn", "source"))
 
 
 def parents(messages: DataFrame) -> DataFrame:
-    """(conv, turn, parent, n_quoted, max_level) of the messages that quote; parent is null where no earlier message wrote the lines.
+    """(conv, turn, parent, n_quoted, max_level) of the messages that quote; parent is null where no earlier message wrote the passages or lines.
 
-    A line belongs to the first message that wrote it. Ties between parents go
-    to the later message.
+    A passage belongs to the latest earlier message that wrote it, a line of a
+    passage without such a message to the first one. Ties between parents go to
+    the later message.
     """
     talk = written(messages.where("quotes").select(F.col("conv").alias("c")).distinct(), "quote-conversations")
-    told = written(lines(messages.join(talk, F.col("conv") == F.col("c"), "left_semi")), "quote-lines")
-    origin = told.where("level = 0").groupBy("conv", "hash").agg(F.min("turn").alias("source"))
-    quoted = told.where("level > 0")
-    linked = quoted.join(origin, ["conv", "hash"], "left").withColumn("source", F.when(F.col("source") < F.col("turn"), F.col("source")))
+    told = written(passages(messages.join(talk, F.col("conv") == F.col("c"), "left_semi")), "quote-passages")
+    own, quoted = told.where("level = 0"), told.where("level > 0")
+    found = written(quoted.join(written(sources(quoted, own), "quote-sources"), ["conv", "hash", "turn"], "left"), "quote-found")
+    whole = found.where("source is not null").select("conv", "turn", "level", "source", F.size("lines").alias("n"))
+    origin = own.select("conv", "turn", F.explode("lines").alias("line")).groupBy("conv", "line").agg(F.min("turn").alias("first"))
+    single = (found.where("source is null").select("conv", "turn", "level", F.explode("lines").alias("line")).join(origin, ["conv", "line"], "left")
+              .select("conv", "turn", "level", F.when(F.col("first") < F.col("turn"), F.col("first")).alias("source"), F.lit(1).alias("n")))
     # nested marks name older messages; the outermost level that a message quotes names its parent
-    votes = linked.groupBy("conv", "turn", "level", "source").agg(F.count("*").alias("n"))
+    votes = whole.unionByName(single).groupBy("conv", "turn", "level", "source").agg(F.sum("n").alias("n"))
     sums = votes.groupBy("conv", "turn").agg(
         F.sum("n").alias("n_quoted"), F.max("level").alias("max_level"),
         F.max(F.when(F.col("source").isNotNull(), F.struct((-F.col("level")).alias("l"), "n", "source")))["source"].alias("parent"))

@@ -311,6 +311,21 @@ def test_quotation_links(spark):
     assert quotes.link_conversations(df.limit(0)).isEmpty()
 
 
+def test_quoted_passages_outvote_common_lines(spark):
+    three = "Hi all\nAny update?\nBuild fails"
+    quote = "> " + three.replace("\n", "\n> ") + "\nmine"
+    wrapped = "A long line that the reader's program\nbreaks at another width."
+    rows = [("a", 1, "Hi all\nAny update?"), ("a", 3, three), ("a", 5, three), ("a", 6, quote), ("a", 7, three), ("a", 8, "> Build fails\nyes"),
+            ("b", 1, "Hi all\nAny update?"), ("b", 2, wrapped), ("b", 3, "> A long line that\n>  the reader's program breaks at\n>\n> another width.\n>> hi ALL\n>> any\n>> update?\nok"),
+            ("c", 2, "> later\nnow"), ("c", 3, "later"), ("c", 4, "> c four\nc four"), ("d", 1, "> " + wrapped)]
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id string, turn int, role string, text string")
+    got = {(r["conv"], r["turn"]): (r["parent"], r["thread"], r["depth"], r["n_quoted"]) for r in quotes.link_conversations(df).collect()}
+    assert got["a", 6] == (5, 5, 1, 3)  # the latest earlier writer of the passage, not the first one of its common lines
+    assert got["a", 8] == (3, 3, 1, 1)  # a line of a passage: its first writer
+    assert got["b", 3] == (2, 2, 1, 6)  # wrapped anew
+    assert got["c", 2][0] is got["c", 4][0] is got["d", 1][0] is None
+
+
 def test_toxicity(spark, odd, empty, labels):
     rows = toxicity.scores(odd, toxicity.train(odd, labels)).collect()
     assert Counter(r["id"] for r in rows) == Counter(i for i, _ in ROWS) and all(0 <= r["score"] < 0.3 for r in rows)
