@@ -8,6 +8,7 @@ import hashlib
 import json
 import uuid
 from functools import reduce
+from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from ..operators import training as TR
 from ..session import materialise
 from ..sources import fixtures as fx
 from ..sources import sinks as SK
+from ..sources.tables import table
 from .common import enriched, r6
 from .registry import register
 from .sqlbits import matrix_sql
@@ -171,9 +173,27 @@ def q_tuning(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("candidate", "trial", "params", r6("r2_mean"), r6("mae_mean"))
 
 
+# The driver tables that the listings and their macro columns come from.
+INPUTS = ("lineitem", "orders", "part", "customer", "nation")
+
+
+def _version(spark: SparkSession, sf: str) -> list:
+    """Digests of what a training run depends on besides its parameters: the files of its tables (name, size, time) and the code."""
+    out = []
+    for name in INPUTS:
+        files = table(spark, sf, name).select("_metadata.file_name", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        r = files.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)")).alias("h")).first()
+        out.append([name, r["n"], str(r["h"])])
+    code = hashlib.sha256()
+    for package in ("hearth.operators", "hearth.sources", "hearth.functions", "hearth.plans"):
+        for f in sorted((f for f in resources.files(package).iterdir() if f.name.endswith(".py")), key=lambda f: f.name):
+            code.update(f.read_bytes())
+    return [*out, code.hexdigest()]
+
+
 def _artefacts(spark: SparkSession, sf: str) -> str:
-    """Folder of the finished training run on ``sf``; trains and writes it if there is none (A5)."""
-    run = hashlib.sha256(json.dumps([sf, TR.DEFAULTS, TR.TRIALS], sort_keys=True).encode()).hexdigest()[:16]
+    """Folder of the finished training run on the tables in ``sf`` as they are now; trains and writes it if there is none (A5)."""
+    run = hashlib.sha256(json.dumps([sf, TR.DEFAULTS, TR.TRIALS, _version(spark, sf)], sort_keys=True).encode()).hexdigest()[:16]
     path = SK.default_path(spark, f"artefacts-{run}")
     if not SK.is_complete(spark, path):
         res = TR.train(enriched(spark, sf))

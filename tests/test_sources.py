@@ -130,3 +130,15 @@ def test_model_queries_ask_for_the_full_search(spark, monkeypatch):
     monkeypatch.setattr(TR, "tune", lambda folds, kind: trials.append(kind) or spark.createDataFrame(
         [(kind, 0, "{}", 0.1, 0.1)], "candidate string, trial int, params string, r2_mean double, mae_mean double"))
     assert QM.q_tuning(spark, SF).count() == 3 and trials == ["gbt", "forest", "linear"]
+
+
+def test_artefacts_follow_the_tables(spark, tmpdir_path, monkeypatch):
+    paths = []
+    monkeypatch.setattr(SK, "is_complete", lambda spark, path: paths.append(path) or True)
+    for name in QM.INPUTS:
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmpdir_path}/{name}.parquet")
+    for _ in range(2):
+        QM._artefacts(spark, tmpdir_path)
+    spark.read.parquet(f"{SF}/part.parquet").limit(5).write.mode("overwrite").parquet(f"{tmpdir_path}/part.parquet")
+    QM._artefacts(spark, tmpdir_path)
+    assert paths[0] == paths[1] != paths[2]
