@@ -211,6 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           sample: int = SAMPLE) -> Model:
     """Learn stems and weights from the training rows (those not held out), ``sample`` of each label at most.
 
+    An id counts once; if it has several texts, with that of the smallest digest.
     Without training rows of both labels the model has no learned stems and default weights.
     """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
@@ -218,8 +219,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = [F.xxhash64("id"), F.col("id")]
     chosen = written(known.where("y = 1").orderBy(*order).limit(sample).unionByName(known.where("y = 0").orderBy(*order).limit(sample)), "toxicity-sample")
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    # the sample's size is bounded by the parameter, so its ids may go to every task
-    rows = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("y", "text"), "toxicity-texts")
+    # the sample's size is bounded by the parameter, so its ids may go to every task; an id that repeats counts with one text
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = written(rows.groupBy("id", "y").agg(F.min_by("text", F.sha2(F.coalesce("text", F.lit("")), 256)).alias("text")).select("y", "text"), "toxicity-texts")
     n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         return Model()

@@ -334,6 +334,17 @@ def test_toxicity(spark, odd, empty, labels):
     assert toxicity.reject(empty, labels.limit(0)).isEmpty()
 
 
+def test_toxicity_counts_an_id_once(spark, monkeypatch):
+    marks = [(i, i % 2) for i in range(40)]
+    docs = [(i, prose(20, 400 + i)) for i, _ in marks] + [(1, prose(8, 500 + k)) for k in range(300)] + [(3, prose(8, 3))] * 50
+    sizes, kept = [], toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df, name: sizes.append((name, df.count())) or kept(df, name))
+    labelled = spark.createDataFrame(marks, "doc_id long, toxic int")
+    models = [toxicity.train(spark.createDataFrame(d, "doc_id long, text string"), labelled) for d in (docs, docs[::-1])]
+    assert all(n <= len(marks) for _, n in sizes) and "toxicity-texts" in dict(sizes)
+    assert models[0].stems == models[1].stems and max(abs(a - b) for a, b in zip(models[0].weights, models[1].weights, strict=True)) < 1e-9
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs, marks = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
