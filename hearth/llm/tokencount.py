@@ -2,7 +2,7 @@
 
 The cache is a Parquet table (digest, n_tokens) below a folder named after the
 digest of the tokenizer file. Contents are normalised where the tokenizer can't
-tell (runs of ASCII white space), digested, and joined to the cache; one text of
+tell (runs of ASCII white space, if the file is seen to drop it), digested, and joined to the cache; one text of
 each distinct miss is encoded and the new counts are appended.
 
 A miss is encoded by words: the tokenizer's own pattern cuts what stands between
@@ -57,6 +57,14 @@ class Counter:
         cut = [probe[a:b] for _, (a, b) in pre.pre_tokenize_str(probe)]
         return cut == self.pattern.findall(probe) and self._by_chunks(probe) == len(self.lib.encode(probe, add_special_tokens=False))
 
+    def drops_space(self) -> bool:
+        """Whether this file is seen to drop ASCII white space, so that its runs, and its kinds, make no token and no difference."""
+        if not self.by_word or any(regex.search(r"\s", s) for s in self.special):
+            return False
+        size = lambda text: len(self.lib.encode(text, add_special_tokens=False))
+        base = size("it's one, two 3")
+        return all(size(f"{a}it's{b}one,{a}two{b}3{b}") == base for a in "\t\n\v\f\r " for b in (a, a * 2, a + " ", " " + a + "\n"))
+
     def _word(self, word: str) -> int:
         n = self.words.get(word)
         if n is None:
@@ -86,9 +94,12 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
-def content_digest(text: Column) -> Column:
-    """Digest of the content as the tokenizer sees it: runs of ASCII white space count as one space."""
-    return F.sha2(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D\x20]+", " ")), 256)
+def content_digest(text: Column, fold: bool = True) -> Column:
+    """Digest of the content as the tokenizer sees it: with ``fold``, runs of ASCII white space count as one space; else the text as it is, marked so."""
+    text = F.coalesce(text, F.lit(""))
+    if not fold:
+        return F.concat(F.lit("raw:"), F.sha2(text, 256))
+    return F.sha2(F.trim(F.regexp_replace(text, r"[\x09-\x0D\x20]+", " ")), 256)
 
 
 def version(path: str) -> str:
@@ -118,7 +129,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
     known = spark.read.schema(schema).parquet(folder)
 
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    digest = content_digest(F.col("text"))
+    digest = content_digest(F.col("text"), counter(tokenizer).drops_space())
     rows = written(named.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), digest.alias("digest")), "token-rows")
     stored = known.select("digest").distinct()
     # one text for each content: copies are combined before they are dealt out

@@ -238,6 +238,19 @@ def test_token_counts(spark, odd, empty, tmpdir_path):
     assert tokencount.count_tokens(empty, path, tmpdir_path).isEmpty()
 
 
+def test_token_counts_keep_space_that_counts(spark, tmpdir_path):
+    from tokenizers import models, pre_tokenizers, trainers
+
+    lib = Tokenizer(models.BPE())
+    lib.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    lib.train_from_iterator([BASE], trainers.BpeTrainer(vocab_size=300, initial_alphabet=pre_tokenizers.ByteLevel.alphabet(), show_progress=False))
+    lib.save(path := f"{tmpdir_path}/bytes.json")
+    rows = list(enumerate(["a b", "a  b", "a\n\n b ", "  a b", "a\tb", "a b", None, "", "   "]))
+    got = {r["id"]: r["n_tokens"] for r in tokencount.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, tmpdir_path).collect()}
+    assert got == {i: len(lib.encode(t or "", add_special_tokens=False)) for i, t in rows} and len(set(got.values())) > 3
+    assert tokencount.counter(tokenizer_path("word_bpe_49k.json")).drops_space() and not tokencount.counter(path).drops_space()
+
+
 @pytest.mark.parametrize("hot", [2, 1024])
 def test_repeats(spark, odd, empty, hot, monkeypatch):
     monkeypatch.setattr(suffixes, "HOT", hot)
