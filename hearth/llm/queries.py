@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: thin digests of what the operators return."""
+"""The registered queries of the operators: thin digests of what the operators return."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontam, embeddings, pieces, quality, quotes, secrets, simhash, suffixes, tokencount, toxicity
+from hearth.llm import decontam, divergence, embeddings, pieces, quality, quotes, runs, secrets, simhash, suffixes, tokencount, topk, toxicity
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,59 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return found.select(F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score",
                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r AND len(q.e) = len(c.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM met) WHERE rank <= 5
+"""
+
+
+@query("op11_topk", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest inner products of every query vector."""
+    found = topk.top_k(table(spark, sf_dir, "embeddings"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op12_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, the longest one, and digests of all runs and of the text without repetitions."""
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=runs.repeat_tail)
+    return found.select(F.col("id").alias("doc_id"), "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM d),
+told AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS in_lang FROM told GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(in_lang) AS n FROM kept GROUP BY ALL),
+counts AS (SELECT lang, source, term, count(*) AS c FROM told SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+cells AS (SELECT lang, source, term, in_lang, coalesce(c, 0) AS c, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 2)) // (t.n + 2 * v) AS p,
+                 1 + (CAST(1000000000 AS HUGEINT) * (in_lang + 2)) // (langs.n + 2 * v) AS whole
+          FROM totals t JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - whole) * (p - whole)) // (p + whole) FROM cells WHERE c > 0 AND p > whole)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts) WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op13_divergence", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms that mark it."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
