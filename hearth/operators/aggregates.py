@@ -1,14 +1,13 @@
 """Aggregations: exact quantiles, medians, mode, mean/count, null and column profiles.
 
-Exact quantiles never gather a group in one task, at any size: a sketch
-brackets each quantile, rows below the bracket are only counted, and the few
-rows inside it are counted by value and ranked.
+Exact quantiles never gather a group in one task, at any size: rows are counted
+by bins of their value, and only the bin that holds the wanted rank is divided
+again, until it holds one value.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,11 +16,12 @@ from ..session import materialise
 
 COLUMN, PROB, VALUE = "column", "q", "value"
 
-
-# Rank error of the sketch that brackets a quantile, as 1/accuracy; it grows with the
-# input so that the values between two brackets stay near SPAN_ROWS.
-MIN_ACCURACY = 1000
-SPAN_ROWS = 100_000
+# Bins of the first count in each doubling of the value, bins that a bracket is divided
+# into, and the rows of a bracket that are counted by value. Constant: no count holds more
+# keys for more rows.
+PER_OCTAVE = 64
+DIVIDE = 1 << 13
+BY_VALUE = 20_000
 
 
 def numeric_input(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -30,80 +30,114 @@ def numeric_input(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> Data
     return materialise(df.select(*by, *values), "quantile-input")
 
 
-def _quantiles(wide: DataFrame, cols: list[str], probs: list[float], by: list[str], rows: int) -> DataFrame:
-    """(by..., column, q, value) over a written table: bracket every quantile, then rank what lies between.
+def _first_bin(v: Column) -> Column:
+    """Bins of equal width on a logarithmic scale, below and above zero."""
+    size = F.when(F.abs(v) == float("inf"), 1025.0).otherwise(F.log2(F.abs(v)))
+    return F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.floor(PER_OCTAVE * size) + 2048 * PER_OCTAVE).cast("double"))
+
+
+def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int) -> DataFrame:
+    """(by..., i, part, q, value) over rows (by..., i, m, v): value v of column i in the parts whose bits m has.
 
-    1. A sketch per group and column (map-side combined, bounded memory) gives two
-       values whose ranks enclose the wanted ones: its rank error is 1/accuracy
-       and the brackets lie 2/accuracy away. Groups of few rows take minimum and
-       maximum.
-    2. Equal brackets are the quantile: both ranks lie among the copies of that value.
-    3. Elsewhere one pass counts the rows below a bracket, another keeps the rows inside,
-       counted by value. Running counts over those values (about ``SPAN_ROWS`` per
-       group and quantile) give the values at the two ranks.
+    Each round counts the rows of the open brackets by bin, in all parts at once
+    (map-side combined), and looks up the bin of every wanted rank: the counts
+    below it are exact, so is the rank inside. Bins whose values overlap are one
+    bin: a bin function that isn't monotone costs rounds, never the result.
     """
-    accuracy = max(MIN_ACCURACY, math.ceil(4 * rows / SPAN_ROWS))
-    ends = [e for p in probs for e in (max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy))]
-    for k in by:  # like pandas groupby: rows without a key join no group
-        wide = wide.where(F.col(k).isNotNull())
-    col = lambda i: F.col(f"`{cols[i]}`")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
-    sketch = wide.groupBy(*by).agg(*[e for i in range(len(cols)) for e in (
-        F.count(col(i)).alias(f"_n{i}"), F.min(col(i)).alias(f"_min{i}"), F.max(col(i)).alias(f"_max{i}"),
-        F.percentile_approx(col(i), ends, accuracy).alias(f"_b{i}"))])
-    few = lambda i: F.col(f"_n{i}") <= 4 * accuracy
-    sides = sketch.select(*by, *[f"_n{i}" for i in range(len(cols))], *[e for i, j in pairs for e in (
-        F.when(few(i), F.col(f"_min{i}")).otherwise(F.col(f"_b{i}")[2 * j]).alias(f"_lo{i}_{j}"),
-        F.when(few(i), F.col(f"_max{i}")).otherwise(F.col(f"_b{i}")[2 * j + 1]).alias(f"_hi{i}_{j}"))])
-    sides = materialise(sides, "quantile-brackets")
-    if by:
-        beside = lambda df: df.join(sides, by)
-    else:
-        one = sides.first()  # one row of numbers
-        beside = lambda df: df.select("*", *[F.lit(one[c]).cast(t).alias(c) for c, t in sides.dtypes])
-    met = beside(wide)
-    below = met.groupBy(*by).agg(*[F.count_if(col(i) < F.col(f"_lo{i}_{j}")).alias(f"_below{i}_{j}") for i, j in pairs])
-    inside = F.filter(F.array(*[F.when((F.col(f"_lo{i}_{j}") < F.col(f"_hi{i}_{j}")) & (col(i) >= F.col(f"_lo{i}_{j}")) & (col(i) <= F.col(f"_hi{i}_{j}")),
-                                       F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), col(i).alias("v"))) for i, j in pairs]),
-                      lambda x: x.isNotNull())
-    counted = (met.select(*by, F.explode(inside).alias("x")).groupBy(*by, F.col("x.i").alias("i"), F.col("x.j").alias("j"), F.col("x.v").alias(VALUE))
-               .agg(F.count("*").alias("n")))
-    totals = beside(below).select(*by, F.explode(F.array(*[F.struct(
-        F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias(COLUMN), F.lit(probs[j]).alias(PROB),
-        ((F.col(f"_n{i}") - 1) * probs[j]).alias("h"), F.col(f"_below{i}_{j}").alias("below"),
-        F.col(f"_lo{i}_{j}").alias("first"), F.col(f"_hi{i}_{j}").alias("last")) for i, j in pairs])).alias("t")).select(*by, "t.*")
-    order = Window.partitionBy(*by, "i", "j").orderBy(VALUE)
-    ranked = counted.withColumn("upto", F.sum("n").over(order)).join(totals, [*by, "i", "j"])
-    reach = F.col("below") + F.col("upto")
-    at = ranked.groupBy(*by, COLUMN, PROB, "h").agg(
-        F.min(F.when(reach >= F.floor("h") + 1, F.col(VALUE))).alias("lo"), F.min(F.when(reach >= F.ceil("h") + 1, F.col(VALUE))).alias("hi"))
+    same = lambda a, b: F.lit(True) if not by else _all(F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in by)
+    counts = [F.sum(F.when(F.col("m").bitwiseAND(F.lit(1 << p)) != 0, 1).otherwise(0)).alias(f"n{p}") for p in range(parts)]
+
+    def bins(rows: DataFrame, key: Column) -> DataFrame:
+        """(by..., i, at, part, n, lo, hi, inside, upto): a bracket's bins by value, with running counts."""
+        counted = rows.withColumn("bin", key).groupBy(*by, "i", "at", "bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("inside"), *counts)
+        ahead = Window.partitionBy(*by, "i", "at").orderBy("lo", "hi", "bin")
+        before = F.max("hi").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
+        islands = counted.withColumn("island", F.coalesce((before < F.col("lo")).cast("int"), F.lit(0))).withColumn("island", F.sum("island").over(ahead))
+        merged = islands.groupBy(*by, "i", "at", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("inside").alias("inside"),
+                                                                *[F.sum(f"n{p}").alias(f"n{p}") for p in range(parts)])
+        each = F.inline(F.array(*[F.struct(F.lit(p).alias("part"), F.col(f"n{p}").alias("n")) for p in range(parts)]))
+        spread = merged.select(*by, "i", "at", "lo", "hi", "inside", each).where("n > 0")
+        return spread.withColumn("upto", F.sum("n").over(Window.partitionBy(*by, "i", "at", "part").orderBy("lo")))
+
+    def ranks(asked: DataFrame, found: DataFrame) -> DataFrame:
+        """The wanted ranks with the bin that holds each."""
+        a, b = asked.alias("a"), found.alias("b")
+        inside = (F.col("a.k") >= F.col("a.below") + F.col("b.upto") - F.col("b.n")) & (F.col("a.k") < F.col("a.below") + F.col("b.upto"))
+        on = same("a", "b") & (F.col("a.i") == F.col("b.i")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.at") == F.col("b.at")) & inside
+        return a.join(b, on).select(*[F.col(f"a.{c}") for c in (*by, "i", "part", "q", "h", "k")], (F.col("a.below") + F.col("b.upto") - F.col("b.n")).alias("below"),
+                                    F.col("b.lo").alias("at"), F.col("b.hi").alias("hi"), F.col("b.inside").alias("inside"))
+
+    rows = long.withColumn("at", F.lit(0.0))
+    found = materialise(bins(rows, _first_bin(F.col("v"))), "quantile-bins")
+    totals = found.groupBy(*by, "i", "part").agg(F.sum("n").alias("n"))
+    wanted = totals.select(*by, "i", "part", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")).withColumn("h", (F.col("n") - 1) * F.col("q"))
+    wanted = wanted.select(*by, "i", "part", "q", "h", F.explode(F.array(F.floor("h"), F.ceil("h"))).alias("k"), F.lit(0).cast("bigint").alias("below"), F.lit(0.0).alias("at"))
+    asked = materialise(ranks(wanted, found), "quantile-ranks")
+    solved = asked.where(F.col("at") == F.col("hi"))
+    while not (open_ := asked.where(F.col("at") < F.col("hi"))).isEmpty():
+        brackets = open_.select(*by, "i", "at", "hi", "inside").distinct()
+        a, b = long.alias("a"), brackets.alias("b")
+        rows = a.join(b, same("a", "b") & (F.col("a.i") == F.col("b.i")) & F.col("a.v").between(F.col("b.at"), F.col("b.hi"))).select("a.*", "b.at", "b.hi", "b.inside")
+        place = F.least(F.floor((F.col("v") - F.col("at")) / (F.col("hi") - F.col("at")) * DIVIDE), F.lit(DIVIDE - 1)).cast("double")
+        found = materialise(bins(rows, F.when(F.col("inside") <= BY_VALUE, F.col("v")).otherwise(place)), "quantile-bins")
+        asked = materialise(ranks(open_, found), "quantile-ranks")
+        solved = solved.unionByName(asked.where(F.col("at") == F.col("hi")))
+    ends = solved.groupBy(*by, "i", "part", "q", "h").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
     value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
         (F.ceil("h") - F.col("h")) * F.col("lo") + (F.col("h") - F.floor("h")) * F.col("hi"))
-    tied = totals.where(F.col("first") == F.col("last")).select(*by, COLUMN, PROB, F.col("first").alias(VALUE))
-    return at.select(*by, COLUMN, PROB, value.alias(VALUE)).unionByName(tied)
+    return ends.select(*by, "i", "part", PROB, value.alias(VALUE))
+
+
+def _all(conditions) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), with_total: bool = False, stored: bool = False) -> DataFrame:
+                   by: Sequence[str] = (), with_total: bool = False, stored: bool = False,
+                   parts: Mapping[int, Column] | None = None, own: Mapping[str, Mapping[int, str]] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas "linear", SQL quantile_cont).
 
-    Returns long rows ``(by..., [_lvl,] column, q, value)``; groups whose column
+    Returns long rows ``(by..., [_lvl,] [_part,] column, q, value)``; groups whose column
     is all null get no row (callers left-join and fall back). With
     ``with_total`` the overall quantiles come along as ``_lvl = 1`` rows with
-    NULL keys, from the same written input. The result is a written table, so
+    NULL keys, from the same passes. The result is a written table, so
     the planner knows that it is small and the rows it is joined to stay put.
     ``stored`` says that ``df`` is a ``numeric_input`` already.
+
+    ``parts`` names subsets of the rows (number from 0 → condition): the quantiles
+    of each come from the same passes, as ``_part``. A column in ``own`` has a
+    source column of its own in each part. ``df`` must then be a written table.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
-    wide = df if stored else numeric_input(df, cols, by)
-    rows = wide.count()
-    out = _quantiles(wide, cols, probs, by, rows)
+    own = own or {}
+    if parts is None:
+        wide, mask = (df if stored else numeric_input(df, cols, by)), [F.lit(1)]
+    else:
+        wide, mask = df, [F.when(c, 1 << p).otherwise(0) for p, c in sorted(parts.items())]
+    everywhere = sum(mask[1:], mask[0])
+    number = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    cells = [(i, everywhere, c) for i, c in enumerate(cols) if c not in own] + [(cols.index(c), mask[p], source) for c, sources in own.items() for p, source in sources.items()]
+    each = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), m.cast("bigint").alias("m"), number(c).alias("v")) for i, m, c in cells]))
+    long = wide.select(*by, each).where("v is not null and m != 0")
+    keys = list(by)
+    if by:
+        known = _all(F.col(k).isNotNull() for k in by)  # like pandas groupby: rows without a key join no group
+        if with_total:
+            nothing = [F.lit(None).cast(wide.schema[k].dataType).alias(k) for k in by]
+            levels = F.array(F.when(known, F.struct(F.lit(0).alias("_lvl"), *by)), F.struct(F.lit(1).alias("_lvl"), *nothing))
+            long = long.select("i", "m", "v", F.explode(F.filter(levels, lambda x: x.isNotNull())).alias("g")).select("i", "m", "v", "g.*")
+        else:
+            long = long.where(known)
     if with_total:
-        overall = _quantiles(wide, cols, probs, [], rows)
-        keys = [F.lit(None).cast(wide.schema[k].dataType).alias(k) for k in by]
-        out = out.withColumn("_lvl", F.lit(0)).unionByName(overall.select(*keys, COLUMN, PROB, VALUE, F.lit(1).alias("_lvl")))
-        out = out.select(*by, "_lvl", COLUMN, PROB, VALUE)
-    return materialise(out, "quantiles")
+        keys = [*by, "_lvl"]
+        if not by:
+            long = long.withColumn("_lvl", F.explode(F.array(F.lit(0), F.lit(1))))
+    out = _quantiles(long, probs, keys, len(mask))
+    named = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1).alias(COLUMN)
+    return materialise(out.select(*keys, *([F.col("part").alias("_part")] if parts is not None else []), named, PROB, VALUE), "quantiles")
 
 
 def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

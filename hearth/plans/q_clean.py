@@ -198,6 +198,30 @@ def q_target_encode_sigmoid(spark: SparkSession, sf: str) -> DataFrame:
 SCALE_COLS = ["sqft_living", "waterfront", "yr_renovated", "bathrooms", "price"]
 
 
+OOF_SQL = """
+WITH r AS (SELECT id, zipcode, price, CAST((((id % 1000003) * 40503 + 42) % 1000003) % 3 AS INTEGER) AS fold FROM properties),
+z AS (SELECT zipcode, sum(price) AS s, count(price) AS n FROM r GROUP BY 1),
+o AS (SELECT zipcode, fold, sum(price) AS s, count(price) AS n FROM r GROUP BY 1, 2),
+f AS (SELECT fold, sum(price) AS s, count(price) AS n FROM r GROUP BY 1),
+t AS (SELECT sum(price) AS s, count(price) AS n FROM r),
+e AS (SELECT r.id, r.fold, z.n - o.n AS n, (z.s - o.s) / nullif(z.n - o.n, 0) AS m, (t.s - f.s) / (t.n - f.n) AS prior
+      FROM r JOIN z USING (zipcode) JOIN o ON o.zipcode = r.zipcode AND o.fold = r.fold JOIN f ON f.fold = r.fold CROSS JOIN t)
+SELECT id, fold, round((n * coalesce(m, prior) + 10 * prior) / (n + 10), 6) AS zipcode_te,
+       round(coalesce(prior * (1 - 1 / (1 + exp(-(n - 20) / 10.0e0))) + m / (1 + exp(-(n - 20) / 10.0e0)), prior), 6) AS zipcode_te_sigmoid FROM e
+"""
+
+
+@register("target_encode_oof", "H4", "H5", "J3", "C5", sql=OOF_SQL)
+def q_target_oof(spark: SparkSession, sf: str) -> DataFrame:
+    """Both target encodings of zipcode out of fold: each row's from the rows of the other two folds."""
+    rows = materialise(EV.assign_fold(fx.properties(spark, sf).select("id", "zipcode", "price"), "id"), "oof-rows")
+    out = rows
+    for name, kind in (("zipcode_te", "smoothed"), ("zipcode_te_sigmoid", "sigmoid")):
+        te = EN.fit_target_parts(rows, "zipcode", {0: F.lit(True)}, inner="fold", kind=kind)[0]
+        out = EN.apply_target_encoder(out, te, name, inner=F.col("fold"))
+    return out.select("id", "fold", r6("zipcode_te"), r6("zipcode_te_sigmoid"))
+
+
 @register("robust_scale", "H6", "C6", sql="SELECT id, " + ", ".join(
     f"round(({c} - (SELECT quantile_cont({c}, 0.5) FROM properties)) / "
     f"(SELECT CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 THEN 1.0e0 "

@@ -142,7 +142,6 @@ def q_feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
 def _cv(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     folds = TR.make_folds(enriched(spark, sf))
     out = materialise(TR.cross_validate(folds, kind, TR.DEFAULTS[kind]), "cv")
-    folds.release()
     return out.select("fold", "n", r6("r2"), r6("mae"), r6("rmse"))
 
 
@@ -169,7 +168,6 @@ def q_tuning(spark: SparkSession, sf: str) -> DataFrame:
     """Seeded random search of every candidate, the full number of trials, each a 2-fold CV."""
     folds = TR.make_folds(enriched(spark, sf), TR.TUNE_FOLDS)
     out = reduce(DataFrame.unionByName, [TR.tune(folds, kind) for kind in TR.SPACES])
-    folds.release()
     return out.select("candidate", "trial", "params", r6("r2_mean"), r6("mae_mean"))
 
 
@@ -192,13 +190,13 @@ def _version(spark: SparkSession, sf: str) -> list:
 
 
 def _artefacts(spark: SparkSession, sf: str) -> str:
-    """Folder of the finished training run on the tables in ``sf`` as they are now; trains and writes it if there is none (A5)."""
+    """Folder of the published training run on the tables in ``sf`` as they are now; trains and publishes one if there is none (A5)."""
     run = hashlib.sha256(json.dumps([sf, TR.DEFAULTS, TR.TRIALS, _version(spark, sf)], sort_keys=True).encode()).hexdigest()[:16]
     path = SK.default_path(spark, f"artefacts-{run}")
-    if not SK.is_complete(spark, path):
+    if SK.current_run(spark, path) is None:
         res = TR.train(enriched(spark, sf))
         SK.save_run(spark, TR.report_frame(spark, res.report), res.importances, res.state, res.model, path)
-    return path
+    return SK.current_run(spark, path)
 
 
 @register("train_report", "M6", "M9", "C11", "C14")

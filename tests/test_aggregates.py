@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hearth.operators import aggregates as A
 from hearth.operators import impute as IM
@@ -16,9 +17,14 @@ def _data(spark, n=600, seed=1):
     return spark.createDataFrame(rows, "g int, v double"), g, v
 
 
-@pytest.mark.parametrize("accuracy", [10, 25, 1000])  # the first two leave brackets that hold a part of the rows
-def test_quantiles_match_numpy(spark, accuracy, monkeypatch):
-    monkeypatch.setattr(A, "MIN_ACCURACY", accuracy)
+LYING = lambda v: F.pmod(F.xxhash64(v), F.lit(5)).cast("double")
+
+
+@pytest.mark.parametrize("sizes", [{}, {"DIVIDE": 2, "BY_VALUE": 1, "PER_OCTAVE": 1}, {"DIVIDE": 3, "BY_VALUE": 40, "_first_bin": LYING}])
+def test_quantiles_match_numpy(spark, sizes, monkeypatch):
+    """Whole bins, many rounds of division, and a first bin that lies about the order."""
+    for name, value in sizes.items():
+        monkeypatch.setattr(A, name, value)
     df, g, v = _data(spark)
     probs = [0.01, 0.25, 0.5, 0.97]
     out = A.quantile_table(df.repartition(7), ["v"], probs, by=["g"], with_total=True).collect()
@@ -31,15 +37,30 @@ def test_quantiles_match_numpy(spark, accuracy, monkeypatch):
         assert abs(got[(None, 1, p)] - np.nanquantile(v, p)) < 1e-9
 
 
-def test_quantiles_of_few_values(spark, monkeypatch):
-    """Many ties: brackets that coincide, beside a column whose brackets differ."""
-    monkeypatch.setattr(A, "MIN_ACCURACY", 20)
+def test_quantiles_of_few_values_and_of_extremes(spark, monkeypatch):
+    """Many ties, beside columns of both signs over the whole range of doubles."""
+    monkeypatch.setattr(A, "BY_VALUE", 10)
     rng = np.random.default_rng(8)
     x, y = rng.choice([1.0, 2.0, 7.0], 500, p=[0.3, 0.45, 0.25]), rng.normal(size=500)
-    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, y double")
+    z = rng.choice([-1.0, 1.0], 500) * np.exp(rng.uniform(-700, 700, 500))
+    z[:3] = 0.0, -0.0, 5e-324
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), z.tolist())), "x double, y double, z double")
     probs = [0.25, 0.3, 0.5, 0.75]
-    got = {(r["column"], r["q"]): r["value"] for r in A.quantile_table(df, ["x", "y"], probs).collect()}
-    assert all(abs(got[c, p] - np.quantile(v, p)) < 1e-12 for c, v in (("x", x), ("y", y)) for p in probs) and len(got) == 8
+    got = {(r["column"], r["q"]): r["value"] for r in A.quantile_table(df, ["x", "y", "z"], probs).collect()}
+    assert all(np.isclose(got[c, p], np.quantile(v, p), rtol=1e-12, atol=1e-300) for c, v in (("x", x), ("y", y), ("z", z)) for p in probs) and len(got) == 12
+
+
+def test_quantiles_of_parts_come_from_the_same_passes(spark):
+    rng = np.random.default_rng(3)
+    x, fold = rng.normal(size=900), rng.integers(0, 3, 900)
+    rows = [(int(f), float(a), *[float(a * (k + 1)) for k in range(3)]) for f, a in zip(fold, x)]
+    df = spark.createDataFrame(rows, "fold int, x double, y0 double, y1 double, y2 double")
+    out = A.quantile_table(df, ["x", "y"], [0.25, 0.5], parts={k: F.col("fold") != k for k in range(3)}, own={"y": {k: f"y{k}" for k in range(3)}})
+    got = {(r["_part"], r["column"], r["q"]): r["value"] for r in out.collect()}
+    for k in range(3):
+        for q in (0.25, 0.5):
+            want = np.quantile(x[fold != k], q)
+            assert abs(got[k, "x", q] - want) < 1e-12 and abs(got[k, "y", q] - np.quantile(x[fold != k] * (k + 1), q)) < 1e-12
 
 
 def test_mode_smallest_on_ties(spark):

@@ -87,9 +87,9 @@ def test_training_run_and_its_artefacts(spark, tmpdir_path):
     values = [v for _, v in res.importances]
     assert values == sorted(values, reverse=True) and values[0] > 0 and len(values) == r["n_features"]
     path = f"{tmpdir_path}/run"
-    assert not SK.is_complete(spark, path)
+    assert SK.current_run(spark, path) is None
     SK.save_run(spark, TR.report_frame(spark, r), res.importances, res.state, res.model, path)
-    assert SK.is_complete(spark, path)
+    path = SK.current_run(spark, path)
     state, model = SK.load_state(spark, path)
     want = res.model.transform(EN.apply_features(p, res.state)).select("id", "prediction")
     got = model.transform(EN.apply_features(p, state)).select("id", F.col("prediction").alias("q"))
@@ -115,7 +115,7 @@ def test_model_queries_ask_for_the_full_search(spark, monkeypatch):
         raise StopIteration
 
     monkeypatch.setattr(QM, "enriched", lambda spark, sf: None)
-    monkeypatch.setattr(TR, "make_folds", lambda df, *a: TR.Folds([(scores, scores)]))
+    monkeypatch.setattr(TR, "make_folds", lambda df, *a: TR.Folds([scores]))
     monkeypatch.setattr(TR, "cross_validate", lambda folds, kind, params: asked.append((kind, params)) or scores)
     monkeypatch.setattr(TR, "train", train)
     QM.q_model_gbt(spark, SF)
@@ -134,11 +134,11 @@ def test_model_queries_ask_for_the_full_search(spark, monkeypatch):
 
 def test_artefacts_follow_the_tables(spark, tmpdir_path, monkeypatch):
     paths = []
-    monkeypatch.setattr(SK, "is_complete", lambda spark, path: paths.append(path) or True)
+    monkeypatch.setattr(SK, "current_run", lambda spark, path: paths.append(path) or path)
     for name in QM.INPUTS:
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmpdir_path}/{name}.parquet")
     for _ in range(2):
         QM._artefacts(spark, tmpdir_path)
     spark.read.parquet(f"{SF}/part.parquet").limit(5).write.mode("overwrite").parquet(f"{tmpdir_path}/part.parquet")
     QM._artefacts(spark, tmpdir_path)
-    assert paths[0] == paths[1] != paths[2]
+    assert paths[0] == paths[2] != paths[4]
