@@ -119,9 +119,12 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         wide, mask = df, [F.when(c, 1 << p).otherwise(0) for p, c in sorted(parts.items())]
     everywhere = sum(mask[1:], mask[0])
     number = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
-    cells = [(i, everywhere, c) for i, c in enumerate(cols) if c not in own] + [(cols.index(c), mask[p], source) for c, sources in own.items() for p, source in sources.items()]
-    each = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), m.cast("bigint").alias("m"), number(c).alias("v")) for i, m, c in cells]))
-    long = wide.select(*by, each).where("v is not null and m != 0")
+    every = (1 << len(mask)) - 1
+    cells = [(i, every, c) for i, c in enumerate(cols) if c not in own] + [(cols.index(c), 1 << p, source) for c, sources in own.items() for p, source in sources.items()]
+    at = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in cells]), F.col("pos") + 1)
+    # a plain array of values: an array of structs would be built by slow code
+    flat = wide.select(*by, everywhere.alias("m"), F.posexplode(F.array(*[number(c) for *_, c in cells])).alias("pos", "v")).where("v is not null")
+    long = flat.select(*by, at(0).alias("i"), F.col("m").bitwiseAND(at(1)).cast("bigint").alias("m"), "v").where("m != 0")
     keys = list(by)
     if by:
         known = _all(F.col(k).isNotNull() for k in by)  # like pandas groupby: rows without a key join no group
