@@ -126,8 +126,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     name = F.when(key.isNotNull(), F.struct(key.alias("id"), F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)).alias("digest"), text.isNull().alias("none"),
                                             (F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0).cast("bigint")).alias("rest")))
     dups = written(near_duplicates(docs.select(name.alias("id"), text.alias("text")), "id", "text"), "simhash-classes")
-    gone = dups.where("id != component").select(F.col("id").alias("_gone")).distinct()
-    kept = docs.join(gone, name == F.col("_gone"), "left_anti")
+    taken, mark = {c.lower() for c in docs.columns}, "_gone"
+    while mark in taken:
+        mark += "_"
+    gone = dups.where("id != component").select(F.col("id").alias(mark)).distinct()
+    kept = docs.join(gone, name == F.col(mark), "left_anti")
     if dups.where("id = component").groupBy("id").count().where("count > 1").isEmpty():
         return kept
     # what is left under one id and text are copies of one row

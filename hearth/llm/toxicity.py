@@ -30,8 +30,6 @@ from hearth.llm.common import arrow, filter_rows, map_texts, written
 THRESHOLD = 0.3
 #: Labelled training rows of each label that the model is fitted on, at most (the rows of smallest id hash).
 SAMPLE = 6000
-#: Stems in the learned lexicon, at most: a top-k list by the test's statistic.
-MAX_STEMS = 4000
 STEM = (4, 9)
 MIN_G2, MIN_LOG_ODDS, MAX_WEIGHT = 30.0, 2.5, 6.0
 
@@ -236,8 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = (map_texts(rows, count, "term string, y int, n bigint").groupBy("term")
               .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b")))
     odds = F.log((F.col("a") + 0.5) / (n[1] + 1)) - F.log((F.col("b") + 0.5) / (n[0] + 1))
-    tied = (counts.withColumn("g2", _g2(F.col("a"), F.col("b"), n[1], n[0])).where((F.col("g2") >= MIN_G2) & (odds >= MIN_LOG_ODDS))
-            .orderBy(F.desc("g2"), "term").limit(MAX_STEMS).collect())
+    # every stem that passes the tests: those of 2 * ``sample`` texts at most, each in several of them
+    tied = counts.withColumn("g2", _g2(F.col("a"), F.col("b"), n[1], n[0])).where((F.col("g2") >= MIN_G2) & (odds >= MIN_LOG_ODDS)).collect()
     model = Model(_pick([(r["term"], r["a"], r["b"]) for r in tied], n[1], n[0]))
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
