@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as X
 from ..operators import aggregates as A
+from ..operators import cleaning as CL
 from ..operators import encoders as EN
 from ..operators import evaluation as EV
 from ..operators import impute as IM
@@ -139,6 +140,31 @@ def q_cleaning_audit(spark: SparkSession, sf: str) -> DataFrame:
     return A.audit(rows, "copies", [("drop_unlabelled", F.col("price").isNotNull()), ("fence", inside)])
 
 
+def _nulls(cols: list[str]) -> str:
+    return " + ".join(f'(SELECT count(*) - count("{c}") FROM u)' for c in cols)
+
+
+@register("cleaning_audit_observed", "C8", "M10", "W1", "W2", "H1", sql=f"""
+WITH u AS (SELECT DISTINCT * FROM properties_dirty),
+l AS (SELECT * FROM u WHERE price IS NOT NULL),
+b AS {FENCE_SQL.format(src="l")},
+n AS (SELECT (SELECT count(*) FROM properties_dirty) AS n0, (SELECT count(*) FROM u) AS n1, (SELECT count(*) FROM l) AS n2,
+             (SELECT count(*) FROM l, b WHERE price BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)) AS n3)
+SELECT step_no, step, rows_in, rows_out, rows_in - rows_out AS removed, filled FROM (
+  SELECT 0 AS step_no, 'dedup' AS step, n0 AS rows_in, n1 AS rows_out, CAST(0 AS BIGINT) AS filled FROM n
+  UNION ALL SELECT 1, 'mode_fill', n1, n1, {_nulls(IM.FLAG_COLS)} FROM n
+  UNION ALL SELECT 2, 'group_median_fill', n1, n1, {_nulls(IM.ORDINAL_COLS)} FROM n
+  UNION ALL SELECT 3, 'knn_fill', n1, n1, {_nulls(IM.KNN_CANDIDATES)} FROM n
+  UNION ALL SELECT 4, 'drop_unlabelled', n1, n2, 0 FROM n
+  UNION ALL SELECT 5, 'fence', n2, n3, 0 FROM n) t
+""")
+def q_audit_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and filled values of every step of the chain up to the fence, observed while the chain itself runs."""
+    audit = CL.Audit()
+    materialise(CL.clean_to_fence(fx.properties_dirty(spark, sf), audit), "clean-fenced")
+    return audit.report(spark)
+
+
 PROFILE_COLS = ["price", "sqft_living", "bathrooms", "yr_built"]
 
 

@@ -29,7 +29,7 @@ from ..sources import sinks as SK
 from ..sources.tables import table
 from .common import enriched, r6
 from .registry import register
-from .sqlbits import matrix_sql
+from .sqlbits import matrix_sql, vif_prune_sql, vif_sql
 
 
 def _knn_sql(c: str, other: str) -> str:
@@ -64,7 +64,7 @@ def q_outliers(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("id", "price", r6("anomaly_score"))
 
 
-@register("vif_report", "H3")
+@register("vif_report", "H3", sql=vif_sql(CO.VIF_CANDIDATES))
 def q_vif_report(spark: SparkSession, sf: str) -> DataFrame:
     """VIF of every candidate column from one covariance pass."""
     return CO.vif_report(fx.properties(spark, sf)).select("column", r6("vif"), "infinite")
@@ -94,7 +94,7 @@ def q_vif_three(spark: SparkSession, sf: str) -> DataFrame:
     return CO.vif_report(fx.properties(spark, sf), VIF_THREE).select("column", r6("vif"), "infinite")
 
 
-@register("vif_prune", "H3", "U4")
+@register("vif_prune", "H3", "U4", sql=vif_prune_sql(CO.VIF_CANDIDATES, 10.0))
 def q_vif_prune(spark: SparkSession, sf: str) -> DataFrame:
     """Columns dropped by iterative VIF pruning (threshold 10), in order."""
     return CO.vif_prune_report(fx.properties(spark, sf)).select("column", "dropped", "drop_order",
@@ -167,7 +167,7 @@ def q_model_linear(spark: SparkSession, sf: str) -> DataFrame:
 def q_tuning(spark: SparkSession, sf: str) -> DataFrame:
     """Seeded random search of every candidate, the full number of trials, each a 2-fold CV."""
     folds = TR.make_folds(enriched(spark, sf), TR.TUNE_FOLDS)
-    out = reduce(DataFrame.unionByName, [TR.tune(folds, kind) for kind in TR.SPACES])
+    out = reduce(DataFrame.unionByName, TR.tune_all(folds))
     return out.select("candidate", "trial", "params", r6("r2_mean"), r6("mae_mean"))
 
 

@@ -64,3 +64,56 @@ s AS (SELECT {stats} FROM f)
 SELECT f.id, round(f.price, 6) AS price, {scaled}, {ranks}, {seasons}, round(f.te, 6) AS zipcode_te
 FROM f CROSS JOIN s {joins}
 """
+
+
+def _correlations(cols: list[str]) -> str:
+    """The correlation matrix of the complete rows of ``properties``, row by row in one list."""
+    whole = " AND ".join(f'"{c}" IS NOT NULL' for c in cols)
+    return f"""SELECT [{", ".join(f'corr("{a}", "{b}")' for a in cols for b in cols)}] AS r FROM properties WHERE {whole}"""
+
+
+def _swept(m: str, k: str, p: int) -> str:
+    """Matrix ``m`` with column ``k`` (from 0) cleared outside of its row; a column without anything left is passed over."""
+    return f"""CASE WHEN {m}[{k} * {p} + {k} + 1] <= 1e-9 THEN {m} ELSE list_transform(range({p * p}), lambda x: {m}[x + 1] - CASE WHEN x // {p} = {k} THEN 0.0e0
+      ELSE {m}[(x // {p}) * {p} + {k} + 1] * {m}[{k} * {p} + x % {p} + 1] / {m}[{k} * {p} + {k} + 1] END) END"""
+
+
+def vif_sql(cols: list[str]) -> str:
+    """VIFs by the sweep operator: what is left of a column's variance when all others are swept out is 1 − R²."""
+    p = len(cols)
+    names = ", ".join(f"'{c}'" for c in cols)
+    return f"""
+WITH RECURSIVE r AS ({_correlations(cols)}),
+s AS (SELECT CAST(i AS BIGINT) AS i, CAST(0 AS BIGINT) AS k, r AS m FROM r, range({p}) t(i)
+      UNION ALL SELECT i, k + 1, CASE WHEN k = i THEN m ELSE {_swept("m", "k", p)} END FROM s WHERE k < {p}),
+v AS (SELECT i, m[i * {p} + i + 1] AS rest FROM s WHERE k = {p})
+SELECT [{names}][i + 1] AS "column", CASE WHEN rest > 1e-12 THEN round(1 / rest, 6) END AS vif, rest <= 1e-12 AS infinite FROM v
+"""
+
+
+def vif_prune_sql(cols: list[str], threshold: float) -> str:
+    """Pruning: sweep for every kept column, drop the one with the greatest VIF (the first on ties), begin again."""
+    p = len(cols)
+    names = ", ".join(f"'{c}'" for c in cols)
+    vif = f"CASE WHEN m[keep[i] * {p} + keep[i] + 1] > 1e-12 THEN 1 / m[keep[i] * {p} + keep[i] + 1] ELSE 'infinity'::DOUBLE END"
+    return f"""
+WITH RECURSIVE r AS ({_correlations(cols)}),
+s AS (
+  SELECT r, CAST(range({p}) AS BIGINT[]) AS keep, CAST([] AS BIGINT[]) AS gone, CAST([] AS DOUBLE[]) AS at, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS k, r AS m,
+         CAST(0 AS DOUBLE) AS best, CAST(-1 AS BIGINT) AS which, false AS done
+  UNION ALL
+  SELECT r,
+    CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_filter(keep, lambda c: c <> which) ELSE keep END,
+    CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_append(gone, which) ELSE gone END,
+    CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_append(at, best) ELSE at END,
+    CASE WHEN i > len(keep) THEN 1 WHEN k > len(keep) THEN i + 1 ELSE i END,
+    CASE WHEN i > len(keep) OR k > len(keep) THEN 1 ELSE k + 1 END,
+    CASE WHEN i > len(keep) OR k > len(keep) THEN r WHEN keep[k] = keep[i] THEN m ELSE {_swept("m", "keep[k]", p)} END,
+    CASE WHEN i > len(keep) THEN 0 WHEN k > len(keep) THEN greatest(best, {vif}) ELSE best END,
+    CASE WHEN i > len(keep) THEN -1 WHEN k > len(keep) AND {vif} > best THEN keep[i] ELSE which END,
+    i > len(keep) AND NOT (best > {threshold} AND len(keep) > 1)
+  FROM s WHERE NOT done),
+f AS (SELECT gone, at FROM s WHERE done)
+SELECT [{names}][c + 1] AS "column", list_contains(gone, c) AS dropped, CAST(nullif(coalesce(list_position(gone, c), 0), 0) - 1 AS INTEGER) AS drop_order,
+       CASE WHEN isfinite(at[list_position(gone, c)]) THEN round(at[list_position(gone, c)], 6) END AS vif_at_drop FROM f, range({p}) t(c)
+"""

@@ -169,6 +169,7 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in order)
     body = sql.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
+    for lead in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(lead):
+            return f"{lead}{ctes},\n{body[len(lead):]}"
     return f"WITH {ctes}\n{body}"

@@ -127,9 +127,10 @@ def test_model_queries_ask_for_the_full_search(spark, monkeypatch):
         QM.q_train_report(spark, SF)
     assert asked == [("train", (), {})]
     trials = []
-    monkeypatch.setattr(TR, "tune", lambda folds, kind: trials.append(kind) or spark.createDataFrame(
+    monkeypatch.setattr(TR.Folds, "binned", lambda self: [])
+    monkeypatch.setattr(TR, "tune", lambda folds, kind, n: trials.append((kind, n)) or spark.createDataFrame(
         [(kind, 0, "{}", 0.1, 0.1)], "candidate string, trial int, params string, r2_mean double, mae_mean double"))
-    assert QM.q_tuning(spark, SF).count() == 3 and trials == ["gbt", "forest", "linear"]
+    assert QM.q_tuning(spark, SF).count() == 3 and sorted(trials) == [("forest", TR.TRIALS), ("gbt", TR.TRIALS), ("linear", TR.TRIALS)]
 
 
 def test_artefacts_follow_the_tables(spark, tmpdir_path, monkeypatch):
