@@ -99,13 +99,13 @@ def vif_prune_sql(cols: list[str], threshold: float) -> str:
     return f"""
 WITH RECURSIVE r AS ({_correlations(cols)}),
 s AS (
-  SELECT r, CAST(range({p}) AS BIGINT[]) AS keep, CAST([] AS BIGINT[]) AS gone, CAST([] AS DOUBLE[]) AS at, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS k, r AS m,
-         CAST(0 AS DOUBLE) AS best, CAST(-1 AS BIGINT) AS which, false AS done
+  SELECT r, CAST(range({p}) AS BIGINT[]) AS keep, CAST([] AS BIGINT[]) AS gone, CAST([] AS DOUBLE[]) AS found, CAST(1 AS BIGINT) AS i, CAST(1 AS BIGINT) AS k, r AS m,
+         CAST(0 AS DOUBLE) AS best, CAST(-1 AS BIGINT) AS which, false AS done FROM r
   UNION ALL
   SELECT r,
     CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_filter(keep, lambda c: c <> which) ELSE keep END,
     CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_append(gone, which) ELSE gone END,
-    CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_append(at, best) ELSE at END,
+    CASE WHEN i > len(keep) AND best > {threshold} AND len(keep) > 1 THEN list_append(found, best) ELSE found END,
     CASE WHEN i > len(keep) THEN 1 WHEN k > len(keep) THEN i + 1 ELSE i END,
     CASE WHEN i > len(keep) OR k > len(keep) THEN 1 ELSE k + 1 END,
     CASE WHEN i > len(keep) OR k > len(keep) THEN r WHEN keep[k] = keep[i] THEN m ELSE {_swept("m", "keep[k]", p)} END,
@@ -113,7 +113,7 @@ s AS (
     CASE WHEN i > len(keep) THEN -1 WHEN k > len(keep) AND {vif} > best THEN keep[i] ELSE which END,
     i > len(keep) AND NOT (best > {threshold} AND len(keep) > 1)
   FROM s WHERE NOT done),
-f AS (SELECT gone, at FROM s WHERE done)
+f AS (SELECT gone, found FROM s WHERE done)
 SELECT [{names}][c + 1] AS "column", list_contains(gone, c) AS dropped, CAST(nullif(coalesce(list_position(gone, c), 0), 0) - 1 AS INTEGER) AS drop_order,
-       CASE WHEN isfinite(at[list_position(gone, c)]) THEN round(at[list_position(gone, c)], 6) END AS vif_at_drop FROM f, range({p}) t(c)
+       CASE WHEN isfinite(found[list_position(gone, c)]) THEN round(found[list_position(gone, c)], 6) END AS vif_at_drop FROM f, range({p}) t(c)
 """
