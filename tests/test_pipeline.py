@@ -111,7 +111,7 @@ def _plan(df):
 def test_plan_checks(spark):
     """Filters reach the scans, lookups are broadcasts of small written tables, top-k cuts groups early."""
     from hearth.operators import features as FE
-    from hearth.operators import knn as KN
+    from hearth.operators import kdtree as KD
     from hearth.operators import macro as M
 
     series = fx.series(spark, SF)
@@ -130,7 +130,7 @@ def test_plan_checks(spark):
             assert "BroadcastHashJoin [zipcode" in plan and "hashpartitioning(zipcode" not in plan.split("Subquery")[0].split("BroadcastExchange")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "WindowGroupLimit" in _plan(KN._first(facts, ["zipcode"], ["price", "id"], 5))  # W4
+    assert "WindowGroupLimit" in _plan(KD.first_rows(facts, ["zipcode"], ["price", "id"], 5))  # W4
 
 
 def test_listing_keys_neither_collide_nor_overflow(spark, tmpdir_path):
