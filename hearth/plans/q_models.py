@@ -29,7 +29,7 @@ from ..sources import sinks as SK
 from ..sources.tables import table
 from .common import enriched, r6
 from .registry import register
-from .sqlbits import matrix_sql, vif_prune_sql, vif_sql
+from .sqlbits import iforest_ctes, matrix_sql, vif_prune_sql, vif_sql
 
 
 def _knn_sql(c: str, other: str) -> str:
@@ -57,7 +57,12 @@ def q_knn(spark: SparkSession, sf: str) -> DataFrame:
     return KN.knn_impute(d).select("id", r6("sqft_lot"), r6("airport_distance_km"))
 
 
-@register("outlier_filter", "H2", "F5")
+@register("outlier_filter", "H2", "F5", sql=f"""
+WITH q AS (SELECT quantile_cont(price, 0.01) AS a, quantile_cont(price, 0.99) AS b FROM properties),
+fenced AS MATERIALIZED (SELECT p.* FROM properties p CROSS JOIN q WHERE price BETWEEN a - 1.5e0 * (b - a) AND b + 1.5e0 * (b - a)),
+{iforest_ctes("fenced", IF.IFOREST_COLS)}
+SELECT f.id, f.price, round(k.score, 6) AS anomaly_score FROM fenced f JOIN kept k ON f.id = k.id
+""")
 def q_outliers(spark: SparkSession, sf: str) -> DataFrame:
     """Listings kept by the isolation forest (200 trees, ψ = 256, contamination 3 %)."""
     kept = IF.remove_outliers(OU.fence_filter(fx.properties(spark, sf)))

@@ -117,3 +117,62 @@ f AS (SELECT gone, found FROM s WHERE done)
 SELECT [{names}][c + 1] AS "column", list_contains(gone, c) AS dropped, CAST(nullif(coalesce(list_position(gone, c), 0), 0) - 1 AS INTEGER) AS drop_order,
        CASE WHEN isfinite(found[list_position(gone, c)]) THEN round(found[list_position(gone, c)], 6) END AS vif_at_drop FROM f, range({p}) t(c)
 """
+
+
+def _mixed(source: str, x: str, name: str) -> str:
+    """``source`` with the splitmix64 finaliser of ``x``; one subquery a step, since aliases of one select are expanded in place."""
+    times = lambda v, by: f"CAST(CAST({v} AS UHUGEINT) * '{by}'::UHUGEINT & '{(1 << 64) - 1}'::UHUGEINT AS UBIGINT)"
+    one = f"SELECT *, {x} AS _x FROM ({source})"
+    two = f"SELECT * REPLACE ({times('xor(_x, _x >> 30)', 0xBF58476D1CE4E5B9)} AS _x) FROM ({one})"
+    three = f"SELECT * REPLACE ({times('xor(_x, _x >> 27)', 0x94D049BB133111EB)} AS _x) FROM ({two})"
+    return f"SELECT * EXCLUDE (_x), xor(_x, _x >> 31) AS {name} FROM ({three})"
+
+
+def _start_sql(x: str, add: int) -> str:
+    return f"CAST((CAST({x} AS UHUGEINT) + '{add % (1 << 64)}'::UHUGEINT) & '{(1 << 64) - 1}'::UHUGEINT AS UBIGINT)"
+
+
+def _uniform(source: str, key: str, seed: int, name: str) -> str:
+    """``source`` (which has ``th``, the tree's hash) with a uniform number for (key, tree)."""
+    keyed = _mixed(source, _start_sql(key, seed * 0x9E3779B97F4A7C15), f"{name}_k")
+    return f"SELECT * EXCLUDE ({name}_k, {name}_h), CAST({name}_h >> 11 AS DOUBLE) / {float(1 << 53)!r} AS {name} FROM ({_mixed(keyed, f'xor({name}_k, th)', f'{name}_h')})"
+
+
+def iforest_ctes(source: str, cols: list[str], trees: int = 200, psi: int = 256, seed: int = 42, contamination: float = 0.03) -> str:
+    """CTEs down to ``kept(id, score)``: an isolation forest over ``source``, level by level (for tables of ``psi`` rows or more)."""
+    depth = (psi - 1).bit_length()
+    euler = 0.5772156649015329
+    c = lambda n: f"CASE WHEN {n} > 2 THEN 2.0e0 * (ln({n} - 1.0e0) + {euler}e0) - 2.0e0 * ({n} - 1.0e0) / {n} WHEN {n} = 2 THEN 1.0e0 ELSE 0.0e0 END"
+    row = ", ".join(f"CAST({x} AS DOUBLE)" for x in cols)
+    keyed = _mixed(f"SELECT id, [{row}] AS x FROM {source}", _start_sql("id", seed * 0x9E3779B97F4A7C15), "k")
+    hashed = _mixed(f"SELECT range AS tree FROM range({trees})", _start_sql("tree", 0x632BE59BD9B4E019), "th")
+    drawn = _mixed("SELECT tree, th, id, k FROM keyed CROSS JOIN trees_", "xor(k, th)", "h")
+    out = [f"keyed AS MATERIALIZED ({keyed})", "rows_ AS MATERIALIZED (SELECT id, x FROM keyed)", f"trees_ AS MATERIALIZED ({hashed})",
+           f"drawn AS MATERIALIZED (SELECT tree, th, id, u FROM (SELECT tree, th, id, CAST(h >> 11 AS DOUBLE) / {float(1 << 53)!r} AS u FROM ({drawn})) "
+           f"WHERE u < {16 * psi}.0e0 / (SELECT count(*) FROM rows_) QUALIFY row_number() OVER (PARTITION BY tree ORDER BY u, id) <= {psi})",
+           "m0 AS MATERIALIZED (SELECT tree, th, d.id, x, 1 AS path FROM drawn d JOIN rows_ r ON d.id = r.id)"]
+    lows, highs = (", ".join(f"{f}(x[{i + 1}])" for i in range(len(cols))) for f in ("min", "max"))
+    for d in range(depth + 1):
+        grow = "len(usable) > 0 AND n > 1" if d < depth else "false"
+        out.append(f"g{d} AS (SELECT tree, th, path, count(*) AS n, [{lows}] AS lo, [{highs}] AS hi FROM m{d} GROUP BY ALL)")
+        usable = f"SELECT *, list_filter({list(range(1, len(cols) + 1))}, lambda i: hi[i] > lo[i]) AS usable FROM g{d}"
+        lots = _uniform(_uniform(usable, "2 * path", seed + 1, "pick"), "2 * path + 1", seed + 1, "share")
+        axis = f"SELECT *, CASE WHEN {grow} THEN usable[1 + CAST(floor(pick * len(usable)) AS INTEGER)] END AS f FROM ({lots})"
+        out.append(f"n{d} AS MATERIALIZED (SELECT tree, path, f, lo[f] + share * (hi[f] - lo[f]) AS t, "
+                   f"CAST(round_even(({d} + {c('n')}) / 1e-9, 0) AS BIGINT) AS v FROM ({axis}))")
+        if d < depth:
+            out.append(f"m{d + 1} AS MATERIALIZED (SELECT m.tree, th, id, x, 2 * m.path + CASE WHEN x[f] <= t THEN 0 ELSE 1 END AS path "
+                       f"FROM m{d} m JOIN n{d} n ON m.tree = n.tree AND m.path = n.path WHERE f IS NOT NULL)")
+    nodes = " UNION ALL ".join(f"SELECT tree, path, f, t, v FROM n{d}" for d in range(depth + 1))
+    # one subquery a step: column aliases of one select are expanded in place, which doubles them at every step
+    walk = "SELECT id, x, fs, ts, vs, 1 AS p FROM rows_ CROSS JOIN forest"
+    for _ in range(depth):
+        walk = f"SELECT id, x, fs, ts, vs, CASE WHEN fs[p] IS NULL THEN p WHEN x[fs[p]] <= ts[p] THEN 2 * p ELSE 2 * p + 1 END AS p FROM ({walk})"
+    out += [f"nodes AS ({nodes})",
+            f"places AS (SELECT t.range AS tree, p.range AS path FROM range({trees}) t CROSS JOIN range(1, {2 << depth}) p)",
+            "forest AS MATERIALIZED (SELECT tree, list(f ORDER BY path) AS fs, list(t ORDER BY path) AS ts, "
+            "list(coalesce(v, CAST(floor(log2(path)) AS BIGINT) * 1000000000) ORDER BY path) AS vs FROM places LEFT JOIN nodes USING (tree, path) GROUP BY tree)",
+            f"walked AS (SELECT id, vs[p] AS v FROM ({walk}))",
+            f"scored AS MATERIALIZED (SELECT id, pow(2.0e0, -(sum(v)::DOUBLE * 1e-9 / {trees}) / ({c(f'{float(psi)}e0')})) AS score FROM walked GROUP BY id)",
+            f"kept AS (SELECT id, score FROM scored WHERE score <= (SELECT quantile_cont(score, {1 - contamination!r}) FROM scored))"]
+    return ", ".join(out)
