@@ -149,48 +149,58 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
 
     ``votes`` has a letter (+, -, 0) for each labeller, ``posterior`` the
     probability of good given the votes, ``score`` the linear scorer's. Null is
-    the empty text. Rows and ids may repeat; other columns are ignored; an empty
-    table gives no rows.
+    the empty text. Rows and ids may repeat; an id with several texts trains on
+    the one of smallest digest; other columns are ignored; an empty table gives
+    no rows. Very long texts are read whole.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # a text is named by two digests; null and the empty text are one
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("c"), F.xxhash64(F.lit(1), text).alias("g"), text.alias("text"))
     letters = {1: "+", -1: "-", 0: "0"}
 
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return arrow(id=batch.column(0), rank=batch.column(1), votes=pa.array(["".join(letters[v] for v in votes(t)) for t in batch.column(2).to_pylist()], pa.string()))
+        cast = ["".join(letters[v] for v in votes(t)) for t in batch.column("text").to_pylist()]
+        return arrow(id=batch.column("id"), c=batch.column("c"), g=batch.column("g"), votes=pa.array(cast, pa.string()))
 
-    voted = written(map_texts(named.select("id", F.xxhash64("id").alias("rank"), "text"), vote, f"id {id_type}, rank bigint, votes string"), "quality-votes")
+    voted = written(map_texts(named, vote, f"id {id_type}, c bigint, g bigint, votes string"), "quality-votes")
     back = {v: k for k, v in letters.items()}
     patterns = [(tuple(back[c] for c in r["votes"]), r["count"]) for r in voted.groupBy("votes").count().orderBy("votes").collect()]  # 3^8 rows at most
     posterior, _, _ = estimate(patterns)
-    by_text = {"".join(letters[v] for v in p): g for p, g in posterior.items()}
+    goals = spark.createDataFrame([("".join(letters[v] for v in p), g) for p, g in posterior.items()], "votes string, posterior double")
 
-    picked = voted.groupBy("id", "rank", "votes").count().orderBy("rank", "id", "votes").limit(sample).select("id")
-    # the sample's size is bounded by the parameter, so its ids may go to every task
-    taken = named.join(F.broadcast(written(picked.distinct(), "quality-sample")), "id").dropDuplicates(["id"])
+    # one text for each id: that of smallest digest
+    one = voted.groupBy("id").agg(F.min(F.struct("c", "g", "votes")).alias("x")).select("id", "x.*")
+    picked = written(one.orderBy(F.xxhash64("id"), "id").limit(sample).join(F.broadcast(goals), "votes"), "quality-sample")
+    # the sample's size is bounded by the parameter, so its ids may go to every task; rows that repeat a text of an id are one
+    chosen = F.broadcast(picked.select(F.col("id").alias("i"), "c", "g", "posterior"))
+    taken = (named.join(chosen, ["c", "g"]).where(F.col("id").eqNullSafe(F.col("i")))
+             .groupBy("id").agg(F.first("posterior").alias("goal"), F.first("text").alias("text")))
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(0).to_pylist()
-        rows = [hasher()(t) for t in texts]
-        goal = [by_text.get("".join(letters[v] for v in votes(t)), 0.5) for t in texts]
-        return arrow(place=pa.array([p for p, _ in rows], pa.list_(pa.int32())), value=pa.array([v for _, v in rows], pa.list_(pa.float32())), goal=pa.array(goal, pa.float64()))
+        rows = [hasher()(t) for t in batch.column("text").to_pylist()]
+        return arrow(place=pa.array([p for p, _ in rows], pa.list_(pa.int32())), value=pa.array([v for _, v in rows], pa.list_(pa.float32())),
+                     goal=batch.column("goal"), key=batch.column("key"))
 
     def trainer(group: pa.Table) -> pa.Table:
+        group = group.sort_by("key")  # sums in a fixed order
         rows = [(np.array(p, dtype=np.int64), np.array(v)) for p, v in zip(group["place"].to_pylist(), group["value"].to_pylist(), strict=True)]
         return pa.table({"weights": pa.array([fit(rows, np.asarray(group["goal"])).tobytes()], pa.binary())})
 
-    features = map_texts(taken.select("text"), hashed, "place array<int>, value array<float>, goal double").withColumn("all", F.lit(1))
+    features = map_texts(taken.select(F.xxhash64("id").alias("key"), "goal", "text"), hashed,
+                         "place array<int>, value array<float>, goal double, key bigint").withColumn("all", F.lit(1))
     first = features.groupBy("all").applyInArrow(trainer, "weights binary").first()
     weights = np.frombuffer(bytes(first["weights"])) if first else np.zeros(BUCKETS + 1)
-    shared = spark.sparkContext.broadcast((by_text, weights))
+    shared = spark.sparkContext.broadcast(weights)
 
     def rate(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table, w = shared.value
-        texts = batch.column(1).to_pylist()
-        cast = ["".join(letters[v] for v in votes(t)) for t in texts]
-        z = np.array([(v * w[p]).sum() + w[-1] for p, v in map(hasher(), texts)])
-        return arrow(id=batch.column(0), votes=pa.array(cast, pa.string()), posterior=pa.array([table[c] for c in cast], pa.float64()),
-                     score=pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))), pa.float64()))
-
-    return map_texts(named, rate, f"id {id_type}, votes string, posterior double, score double")
+        w = shared.value
+        z = np.array([(v * w[p]).sum() + w[-1] for p, v in map(hasher(), batch.column("text").to_pylist())])
+        return arrow(id=batch.column("id"), c=batch.column("c"), g=batch.column("g"), score=pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))), pa.float64()))
+
+    rated = map_texts(named, rate, f"id {id_type}, c bigint, g bigint, score double")
+    # votes depend on the text alone: one row a text comes back from the votes, written, so that AQE can split the rows of a frequent text
+    of_text = written(voted.groupBy("c", "g").agg(F.first("votes").alias("votes")), "quality-texts")
+    return (rated.join(of_text, ["c", "g"]).join(F.broadcast(goals), "votes")
+            .select("id", "votes", "posterior", "score"))
