@@ -6,7 +6,9 @@ anchors at equal places, so only windows filed under the same anchor are ever
 compared, and the consecutive windows of one anchor travel as one fragment.
 
 * An anchor seen once is done; an anchor whose fragments are all equal marks
-  them all repeated. Both need counts only.
+  them all repeated. Fragments are counted by digest; the least and the greatest
+  bytes under one digest are compared, and if they differ the whole is done
+  again with other digests.
 * Where the fragments of an anchor differ, the suffixes that begin at the
   anchor and the reversed prefixes that end there are sorted in mergesort whose
   comparisons find the common extension by binary search over prefix polynomial
@@ -20,6 +22,8 @@ compared, and the consecutive windows of one anchor travel as one fragment.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,6 +42,8 @@ SPLIT = 8
 CHUNK = 1 << 20
 #: Bytes of fragments that are sorted, or cut into windows, at once.
 GROUP_BYTES = 1 << 20
+#: Sets of digests that are tried, one after another, if different bytes share a digest.
+SALTS = 4
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 #: Odd multipliers: the first for k-grams, the others for prefix hashes (the next one is taken after a collision).
@@ -231,14 +237,25 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def _anchors_of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+class Collision(ArithmeticError):
+    """Different bytes have one digest."""
+
+
+def _one_each(kinds: DataFrame) -> DataFrame:
+    """``kinds`` without ``top`` and ``top_place``, if each digest's least and greatest bytes (``text``, ``top``) and places are equal."""
+    if not kinds.where("text != top or place != top_place").isEmpty():
+        raise Collision
+    return kinds.drop("top", "top_place")
+
+
+def _anchors_of(batch: pa.RecordBatch, salt: int = 0) -> pa.RecordBatch | None:
     texts = [t or b"" for t in batch.column("text").to_pylist()]
     joined = b"".join(texts)
     bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     place, h, first, last = anchors(np.frombuffer(joined, dtype=np.uint8), bounds)
     doc = np.searchsorted(bounds, first, side="right") - 1
     view, digest = memoryview(joined), xxhash.xxh3_64_intdigest
-    frag = np.fromiter((digest(view[a:b + SPAN], p - a) for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True)),
+    frag = np.fromiter((digest(view[a:b + SPAN], p - a + (salt << 32)) for p, a, b in zip(place.tolist(), first.tolist(), last.tolist(), strict=True)),
                        dtype=np.uint64, count=len(place))
     at = bounds[doc]
     take = pa.array(doc)
@@ -247,6 +264,8 @@ def _anchors_of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
 
 
 _RANGES = "array<struct<a:bigint,b:bigint>>"
+# Aggregates that tell equal bytes from different ones, and combine before a shuffle.
+_LEAST_AND_GREATEST = ("min(place) as place", "max(place) as top_place", "min(text) as text", "max(text) as top")
 _RANGES_ARROW = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
@@ -262,7 +281,7 @@ def _sort_groups(batch: pa.RecordBatch) -> pa.RecordBatch:
                  ranges=pa.array([[{"a": a, "b": b} for a, b in r] for r in ranges], _RANGES_ARROW))
 
 
-def _splitter(size: int):
+def _splitter(size: int, salt: int = 0):
     """Kernel: rows (anchor, frag, n, place, text) to their sub-fragments of ``size`` windows, blocks counted from the anchor.
 
     The windows of a block all hold the block's middle part, whatever windows of
@@ -278,8 +297,8 @@ def _splitter(size: int):
                 shared = text[place + hi:place + lo + SPAN]
                 at, end = max(lo, first) + place, min(hi, last) + place
                 part = text[at:end + SPAN]
-                name = xxhash.xxh3_64_intdigest(shared + anchor.to_bytes(8, "little", signed=True), block) - (1 << 63)
-                row = (anchor, frag, at, name, xxhash.xxh3_64_intdigest(part, place - at) - (1 << 63), n, place - at, part)
+                name = xxhash.xxh3_64_intdigest(shared + anchor.to_bytes(8, "little", signed=True), (block + (salt << 32)) & (1 << 64) - 1) - (1 << 63)
+                row = (anchor, frag, at, name, xxhash.xxh3_64_intdigest(part, place - at + (salt << 32)) - (1 << 63), n, place - at, part)
                 for k, v in zip(out, row, strict=True):
                     out[k].append(v)
         return arrow(**{k: pa.array(v, pa.binary() if k == "text" else pa.int64()) for k, v in out.items()})
@@ -287,7 +306,7 @@ def _splitter(size: int):
     return kernel
 
 
-def _solve(frags: DataFrame, size: int) -> DataFrame:
+def _solve(frags: DataFrame, size: int, salt: int = 0) -> DataFrame:
     """(anchor, frag, ranges) of the repeated windows among ``frags`` (anchor, frag, n, kinds, place, text) of ``size`` windows.
 
     Groups of ``HOT`` kinds or fewer are sorted. The fragments of larger ones are
@@ -302,13 +321,13 @@ def _solve(frags: DataFrame, size: int) -> DataFrame:
     if size == 1 or hot.isEmpty():
         return by_sort
     size = -(-size // SPLIT)
-    parts = written(map_texts(hot.select("anchor", "frag", "n", "place", "text"), _splitter(size),
+    parts = written(map_texts(hot.select("anchor", "frag", "n", "place", "text"), _splitter(size, salt),
                               "anchor bigint, frag bigint, off bigint, block bigint, sub bigint, n bigint, place bigint, text binary", GROUP_BYTES), "suffix-parts")
-    subs = parts.groupBy("block", "sub").agg(F.sum("n").alias("n"), F.first("place").alias("place"), F.first("text").alias("text"))
-    subs = written(subs, "suffix-subs")
+    subs = parts.groupBy("block", "sub").agg(F.sum("n").alias("n"), *map(F.expr, _LEAST_AND_GREATEST))
+    subs = _one_each(written(subs, "suffix-subs"))
     kinds = written(subs.groupBy("block").agg(F.count("*").alias("kinds")), "suffix-sizes")
     subs = written(subs.join(kinds, "block").select(F.col("block").alias("anchor"), F.col("sub").alias("frag"), "n", "kinds", "place", "text"), "suffix-frags")
-    solved = _solve(subs, size).select(F.col("anchor").alias("block"), F.col("frag").alias("sub"), "ranges")
+    solved = _solve(subs, size, salt).select(F.col("anchor").alias("block"), F.col("frag").alias("sub"), "ranges")
     moved = F.transform("ranges", lambda x: F.struct((x["a"] + F.col("off")).alias("a"), (x["b"] + F.col("off")).alias("b")))
     back = (parts.select("anchor", "frag", "off", "block", "sub").join(solved, ["block", "sub"])
             .groupBy("anchor", "frag").agg(F.flatten(F.collect_list(moved)).alias("ranges")))
@@ -340,29 +359,38 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows are copies of each other. Ids may be null or repeat; other columns are
     ignored. An empty table gives no rows.
     """
+    for salt in range(SALTS):
+        try:
+            return _repeats(docs, id_col, text_col, salt)
+        except Collision:
+            continue
+    raise Collision("different bytes shared a digest in every attempt")
+
+
+def _repeats(docs: DataFrame, id_col: str, text_col: str, salt: int) -> DataFrame:
     named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     keyed = named.withColumns({"d": F.xxhash64("text"), "rid": F.xxhash64("id")})
     long_ = keyed.where(F.octet_length("text") >= SPAN)
-    marks = written(map_texts(long_.select("d", "rid", "text"), _anchors_of,
+    marks = written(map_texts(long_.select("d", "rid", "text"), partial(_anchors_of, salt=salt),
                               "anchor bigint, frag bigint, d bigint, rid bigint, lo bigint, hi bigint, place bigint"), "suffix-anchors")
     seen = (marks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("frag").alias("f"), F.max("frag").alias("g"))
             .where("n > 1").select("anchor", (F.col("f") != F.col("g")).alias("mixed")))
     seen = written(seen, "suffix-seen")  # a join of two plain exchanges can split an anchor that a third of the texts share
     again = written(marks.join(seen, "anchor"), "suffix-again")
 
+    # the bytes of every fragment whose anchor is seen again come together by digest
+    texts = written(long_.join(again.select("d", "rid").distinct(), ["d", "rid"]).select("d", "rid", "text").dropDuplicates(["d", "rid"]), "suffix-texts")
+    places = again.select("d", "rid", "anchor", "frag", "mixed", "lo", "hi", "place").distinct()
+    bytes_ = (texts.join(places, ["d", "rid"])
+              .select("anchor", "frag", "mixed", (F.col("place") - F.col("lo")).alias("place"), F.expr(f"substring(text, int(lo) + 1, int(hi - lo) + {SPAN})").alias("text")))
+    frags = _one_each(written(bytes_.groupBy("anchor", "frag", "mixed").agg(*map(F.expr, _LEAST_AND_GREATEST)), "suffix-frags"))
+
     # one fragment of each kind, with its count, where an anchor has several kinds
-    rank = F.xxhash64("d", "rid", "lo")
     mixed = again.where("mixed")
-    kinds = mixed.groupBy("anchor", "frag").agg(F.count("*").alias("n"), F.min(rank).alias("rank"))
-    kinds = written(kinds, "suffix-kinds")
+    kinds = written(mixed.groupBy("anchor", "frag").agg(F.count("*").alias("n")), "suffix-kinds")
     kinds = written(kinds.join(written(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "suffix-sizes"), "anchor"), "suffix-kinds")
-    chosen = (mixed.join(kinds, ["anchor", "frag"]).where(rank == F.col("rank"))
-              .select("d", "rid", "anchor", "frag", "n", "kinds", "lo", "hi", "place"))
-    texts = written(long_.join(again.select("d", "rid").distinct(), ["d", "rid"]).select("d", "rid", "text").dropDuplicates(["d", "rid"]), "suffix-texts")
-    frags = written(texts.join(chosen.distinct(), ["d", "rid"])
-                    .select("anchor", "frag", "n", "kinds", (F.col("place") - F.col("lo")).alias("place"),
-                            F.expr(f"substring(text, int(lo) + 1, int(hi - lo) + {SPAN})").alias("text")), "suffix-frags")
-    sorted_ = written(_solve(frags, SPAN - GRAM + 1), "suffix-sorted")
+    frags = written(frags.where("mixed").join(kinds, ["anchor", "frag"]).select("anchor", "frag", "n", "kinds", "place", "text"), "suffix-kept")
+    sorted_ = written(_solve(frags, SPAN - GRAM + 1, salt), "suffix-sorted")
 
     some = (mixed.join(sorted_, ["anchor", "frag"]).select("d", "rid", "lo", F.explode("ranges").alias("x"))
             .select("d", "rid", (F.col("lo") + F.col("x.a")).alias("a"), (F.col("lo") + F.col("x.b") + SPAN).alias("b")))

@@ -1,12 +1,15 @@
 """The operators on Spark: brute force on small tables, and odd rows (nulls, empty and long texts, repeated rows, clashing names)."""
 
 import hashlib
+import math
 import random
 import re
 import struct
+import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -199,6 +202,68 @@ def test_quality(spark, odd, empty):
     assert quality.classify(empty).isEmpty()
 
 
+def plain_em(rows, rounds=100):
+    """Posterior of good for every row of votes, row by row."""
+    share = [(0.5 + r.count(1)) / (1 + sum(map(abs, r))) for r in rows]
+    mean = sum(share) / len(share)
+    good = [0.5 + x / 2 if x >= mean else x / 2 for x in share]
+    for _ in range(rounds):
+        weight = [[1 - g for g in good], good]
+        rate = [[{v: 0.5 + sum(w for w, r in zip(weight[c], rows, strict=True) if r[k] == v) for v in (-1, 0, 1)} for k in range(len(rows[0]))] for c in (0, 1)]
+        rate = [[{v: n / sum(d.values()) for v, n in d.items()} for d in side] for side in rate]
+        prior = sum(good) / len(good)
+        new = []
+        for r in rows:
+            bad_, good_ = ((1 - prior) * math.prod(rate[0][k][v] for k, v in enumerate(r)), prior * math.prod(rate[1][k][v] for k, v in enumerate(r)))
+            new.append(good_ / (bad_ + good_))
+        change = max(abs(a - b) for a, b in zip(new, good, strict=True))
+        good = new
+        if change < 1e-9:
+            break
+    return good
+
+
+def plain_scorer(texts, goals):
+    """Logistic scores with dense features and the same steps; the texts in training order."""
+    def features(text):
+        words = (text or "").split()
+        x = np.zeros(quality.BUCKETS + 1)
+        x[-1] = 1
+        for w in words:
+            for token in ("^" + w[:2], w[-2:] + "$"):
+                x[zlib.crc32(token.encode("utf-8", "replace")) % quality.BUCKETS] += 1 / len(words)
+        return x
+
+    x, w, square = np.array([features(t) for t in texts]), np.zeros(quality.BUCKETS + 1), np.full(quality.BUCKETS + 1, 1e-8)
+    for _ in range(quality.EPOCHS):
+        grad = x.T @ (1 / (1 + np.exp(-x @ w)) - np.array(goals)) / len(texts)
+        grad[:-1] += quality.RIDGE * w[:-1]
+        square += grad * grad
+        w -= quality.RATE * grad / np.sqrt(square)
+    return lambda text: 1 / (1 + math.exp(-(features(text) @ w)))
+
+
+def test_quality_equals_plain_model(spark):
+    """Posteriors by rows instead of patterns, scores by dense features; with ids that have several texts, and a hot text."""
+    docs = common.table(spark, SF, "documents").select("doc_id", "text")
+    first = docs.where("doc_id < 3").select((F.col("doc_id") + 100).alias("doc_id"), "text")
+    docs = docs.unionByName(first).unionByName(docs.where("doc_id = 5").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("k"))
+    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("c"), F.xxhash64("doc_id").alias("rank")).collect()
+    cast = [quality.votes(r["text"]) for r in rows]
+    good = plain_em(cast)
+    by_id = {}
+    for r, g in zip(rows, good, strict=True):
+        by_id[r["doc_id"]] = min(by_id.get(r["doc_id"], (r["c"], r["rank"], r["text"], g)), (r["c"], r["rank"], r["text"], g), key=lambda x: x[0])
+    scorer = plain_scorer([x[2] for x in by_id.values()], [x[3] for x in by_id.values()])
+    want = sorted((r["doc_id"], r["text"] or "", g, scorer(r["text"])) for r, g in zip(rows, good, strict=True))
+    found = quality.classify(docs).collect()
+    got = sorted((r["id"], r["posterior"], r["score"]) for r in found)
+    close = lambda a, b: all(abs(x - y) < 1e-5 for x, y in zip(a, b, strict=True))
+    assert len(got) == len(want) and all(a[0] == b[0] and close(a[1:], b[1:]) for a, b in zip(got, sorted((i, p, s) for i, _, p, s in want), strict=True))
+    again = sorted((r["id"], r["posterior"], r["score"]) for r in quality.classify(docs.repartition(5)).collect())
+    assert all(a[0] == b[0] and close(a[1:], b[1:]) for a, b in zip(got, again, strict=True))
+
+
 def test_quality_on_labels(spark):
     sf = "/root/testdata/sf0.01"
     got = quality.classify(common.table(spark, sf, "documents"), sample=500).join(common.table(spark, sf, "labels"), F.col("id") == F.col("doc_id"))
@@ -307,6 +372,29 @@ def test_repeated_rows_share_their_ranges(spark, monkeypatch):
     assert len(got) == len(rows) and all([tuple(s) for s in r["spans"]] == [(0, r["n_bytes"])] and not r["kept"] for r in got)
 
 
+def test_digests_are_held_against_bytes(spark, monkeypatch):
+    """Different bytes under one digest are seen, and the next set of digests is taken."""
+    rows = spark.createDataFrame([(1, 5, 5, b"a", b"a"), (2, 5, 5, b"a", b"b")], "frag long, place long, top_place long, text binary, top binary")
+    assert suffixes._one_each(rows.where("frag = 1")).columns == ["frag", "place", "text"]
+    with pytest.raises(suffixes.Collision):
+        suffixes._one_each(rows)
+    docs = spark.createDataFrame([(1, PASSAGE + prose(30, 1)), (2, prose(30, 2) + PASSAGE), (3, prose(90, 3))], "doc_id long, text string")
+    want = sorted(suffixes.repeats(docs).collect())
+    check, calls = suffixes._one_each, []
+
+    def once(kinds):
+        calls.append(kinds)
+        if len(calls) == 1:
+            raise suffixes.Collision
+        return check(kinds)
+
+    monkeypatch.setattr(suffixes, "_one_each", once)
+    assert sorted(suffixes.repeats(docs).collect()) == want and len(calls) > 1 and want[0]["spans"] and not want[2]["spans"]
+    monkeypatch.setattr(suffixes, "_one_each", lambda kinds: (_ for _ in ()).throw(suffixes.Collision()))
+    with pytest.raises(suffixes.Collision, match="every attempt"):
+        suffixes.repeats(docs)
+
+
 def test_decontamination(spark, odd, empty):
     for chars in (decontam.BLOCK_CHARS, 20):  # one block of items, or many
         found = decontam.contamination(decontam.overlaps(odd, benchmark(spark), chars=chars))
