@@ -7,8 +7,10 @@ again, until it holds one value.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ COLUMN, PROB, VALUE = "column", "q", "value"
 PER_OCTAVE = 64
 DIVIDE = 1 << 13
 BY_VALUE = 20_000
+# Rows that are sorted at once where no keys part them.
+CHUNK = 1 << 17
 
 
 def numeric_input(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -36,9 +40,61 @@ def _first_bin(v: Column) -> Column:
     return F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.floor(PER_OCTAVE * size) + 2048 * PER_OCTAVE).cast("double"))
 
 
-def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int) -> DataFrame:
+def _first_bins(v: np.ndarray) -> np.ndarray:
+    """``_first_bin`` of an array."""
+    size = np.where(np.isinf(v), 1025.0, np.log2(np.where(v == 0, 1.0, np.abs(v))))
+    return np.sign(v) * (np.floor(PER_OCTAVE * size) + 2048 * PER_OCTAVE)
+
+
+def _sorted_counts(cells: Sequence[tuple[int, int]], parts: int, brackets: Sequence[tuple[int, float, float, int]] | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts by bin of batches (m, a column for each cell): every column of a chunk is sorted, so that bins are runs.
+
+    A cell is (i, the parts it belongs to). Without ``brackets`` the bins are the first ones, else each (i, at, hi, inside) is divided.
+    """
+    def count(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
+        mask = chunk.column(0).to_numpy()
+        kinds = np.unique(mask).tolist()  # rows of the same parts are sorted together
+        where = {m: slice(None) if len(kinds) == 1 else np.flatnonzero(mask == m) for m in kinds}
+        for k, (i, every) in enumerate(cells, 1):
+            mine = [b for b in brackets if b[0] == i] if brackets is not None else [(i, None, None, 0)]
+            if not mine:
+                continue
+            column = chunk.column(k).to_numpy()
+            for bits, rows in ((m & every, rows) for m, rows in where.items() if m & every):
+                v = column[rows]
+                v = v[~np.isnan(v)] if brackets is None else v[(v >= min(b[1] for b in mine)) & (v <= max(b[2] for b in mine))]
+                v = np.sort(v)
+                for _, at, hi, inside in mine:
+                    part = v if at is None else v[np.searchsorted(v, at, "left"):np.searchsorted(v, hi, "right")]
+                    if not len(part):
+                        continue
+                    key = _first_bins(part) if at is None else part if inside <= BY_VALUE else np.minimum(np.floor((part - at) / (hi - at) * DIVIDE), DIVIDE - 1)
+                    first = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+                    last = np.concatenate((first[1:], [len(part)]))
+                    n = (last - first).astype(np.int64)
+                    columns = [np.full(len(first), i, dtype=np.int32), np.full(len(first), at or 0.0), key[first], part[first], part[last - 1], n,
+                               *[n if bits >> p & 1 else np.zeros_like(n) for p in range(parts)]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "at", "bin", "lo", "hi", "inside", *[f"n{p}" for p in range(parts)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= CHUNK:
+                yield from count(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield from count(pa.Table.from_batches(held))
+
+    return run
+
+
+def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int, cells: tuple[DataFrame, list[tuple[int, int]]] | None = None) -> DataFrame:
     """(by..., i, part, q, value) over rows (by..., i, m, v): value v of column i in the parts whose bits m has.
 
+    ``cells`` has the same rows side by side, if no keys part them: (m, a column for each cell) and what ``_sorted_counts`` calls cells.
+
     Each round counts the rows of the open brackets by bin, in all parts at once
     (map-side combined), and looks up the bin of every wanted rank: the counts
     below it are exact, so is the rank inside. Bins whose values overlap are one
@@ -47,9 +103,19 @@ def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int) -
     same = lambda a, b: F.lit(True) if not by else _all(F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in by)
     counts = [F.sum(F.when(F.col("m").bitwiseAND(F.lit(1 << p)) != 0, 1).otherwise(0)).alias(f"n{p}") for p in range(parts)]
 
-    def bins(rows: DataFrame, key: Column) -> DataFrame:
+    def counted_side_by_side(brackets: DataFrame | None) -> DataFrame:
+        """Counts by bin of all columns at once; the brackets are a few for each column, part and rank."""
+        wide, each = cells
+        open_ = None if brackets is None else [(r["i"], r["at"], r["hi"], r["inside"]) for r in brackets.collect()]
+        schema = "i int, at double, bin double, lo double, hi double, inside bigint, " + ", ".join(f"n{p} bigint" for p in range(parts))
+        runs = wide.mapInArrow(_sorted_counts(each, parts, open_), schema)
+        return runs.groupBy("i", "at", "bin").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(c).alias(c) for c in ("inside", *[f"n{p}" for p in range(parts)])])
+
+    def counted_by_key(rows: DataFrame, key: Column) -> DataFrame:
+        return rows.withColumn("bin", key).groupBy(*by, "i", "at", "bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("inside"), *counts)
+
+    def bins(counted: DataFrame) -> DataFrame:
         """(by..., i, at, part, n, lo, hi, inside, upto): a bracket's bins by value, with running counts."""
-        counted = rows.withColumn("bin", key).groupBy(*by, "i", "at", "bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("inside"), *counts)
         ahead = Window.partitionBy(*by, "i", "at").orderBy("lo", "hi", "bin")
         before = F.max("hi").over(ahead.rowsBetween(Window.unboundedPreceding, -1))
         islands = counted.withColumn("island", F.coalesce((before < F.col("lo")).cast("int"), F.lit(0))).withColumn("island", F.sum("island").over(ahead))
@@ -68,7 +134,7 @@ def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int) -
                                     F.col("b.lo").alias("at"), F.col("b.hi").alias("hi"), F.col("b.inside").alias("inside"))
 
     rows = long.withColumn("at", F.lit(0.0))
-    found = materialise(bins(rows, _first_bin(F.col("v"))), "quantile-bins")
+    found = materialise(bins(counted_side_by_side(None) if cells else counted_by_key(rows, _first_bin(F.col("v")))), "quantile-bins")
     totals = found.groupBy(*by, "i", "part").agg(F.sum("n").alias("n"))
     wanted = totals.select(*by, "i", "part", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")).withColumn("h", (F.col("n") - 1) * F.col("q"))
     wanted = wanted.select(*by, "i", "part", "q", "h", F.explode(F.array(F.floor("h"), F.ceil("h"))).alias("k"), F.lit(0).cast("bigint").alias("below"), F.lit(0.0).alias("at"))
@@ -79,7 +145,8 @@ def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int) -
         a, b = long.alias("a"), brackets.alias("b")
         rows = a.join(b, same("a", "b") & (F.col("a.i") == F.col("b.i")) & F.col("a.v").between(F.col("b.at"), F.col("b.hi"))).select("a.*", "b.at", "b.hi", "b.inside")
         place = F.least(F.floor((F.col("v") - F.col("at")) / (F.col("hi") - F.col("at")) * DIVIDE), F.lit(DIVIDE - 1)).cast("double")
-        found = materialise(bins(rows, F.when(F.col("inside") <= BY_VALUE, F.col("v")).otherwise(place)), "quantile-bins")
+        key = F.when(F.col("inside") <= BY_VALUE, F.col("v")).otherwise(place)
+        found = materialise(bins(counted_side_by_side(brackets) if cells else counted_by_key(rows, key)), "quantile-bins")
         asked = materialise(ranks(open_, found), "quantile-ranks")
         solved = solved.unionByName(asked.where(F.col("at") == F.col("hi")))
     ends = solved.groupBy(*by, "i", "part", "q", "h").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
@@ -139,7 +206,10 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         keys = [*by, "_lvl"]
         if not by:
             long = long.withColumn("_lvl", F.explode(F.array(F.lit(0), F.lit(1))))
-    out = _quantiles(long, probs, keys, len(mask))
+    side_by_side = None
+    if not keys:
+        side_by_side = (wide.select(everywhere.cast("bigint").alias("m"), *[number(c).alias(f"v{k}") for k, (*_, c) in enumerate(cells)]), [(i, bits) for i, bits, _ in cells])
+    out = _quantiles(long, probs, keys, len(mask), side_by_side)
     named = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1).alias(COLUMN)
     return materialise(out.select(*keys, *([F.col("part").alias("_part")] if parts is not None else []), named, PROB, VALUE), "quantiles")
 

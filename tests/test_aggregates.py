@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators import aggregates as A
 from hearth.operators import impute as IM
+from hearth.session import materialise
 
 
 def _data(spark, n=600, seed=1):
@@ -81,3 +82,24 @@ def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, 4)], "a int, b int")
     got = {r["column"]: r["nulls"] for r in A.null_profile(df).collect()}
     assert got == {"a": 1, "b": 2}
+
+
+def test_columns_without_keys_are_counted_side_by_side(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(A, "BY_VALUE", 50)  # so that brackets are divided too
+    rows = [(int(i % 3), float(a), None if i % 7 == 0 else float(b), float("nan") if i % 5 == 0 else float(np.round(b)))
+            for i, (a, b) in enumerate(zip(rng.exponential(1e5, 3000) - 2e4, rng.normal(size=3000)))]
+    df = spark.createDataFrame([*rows, (0, float("inf"), 0.0, -0.0), (1, 0.0, None, None)], "f int, a double, b double, c double").repartition(5)
+    written = materialise(df, "side-by-side")
+    got = {(r["_part"], r["column"], r["q"]): r["value"] for r in A.quantile_table(written, ["a", "b", "c"], [0.1, 0.5, 0.99], parts={0: F.col("f") != 0, 1: F.lit(True)}).collect()}
+    pdf = written.toPandas()
+    for p, part in ((0, pdf[pdf.f != 0]), (1, pdf)):
+        for c in "abc":
+            for q in (0.1, 0.5, 0.99):
+                assert np.isclose(got[p, c, q], np.quantile(part[c].dropna().to_numpy(), q), rtol=1e-12, atol=1e-12)
+    # the rows of the columns are never spread out, one row for each value
+    seen = []
+    plain = A.materialise
+    monkeypatch.setattr(A, "materialise", lambda d, name: seen.append(d._jdf.queryExecution().optimizedPlan().toString()) or plain(d, name))
+    A.quantile_table(written, ["a", "b"], [0.5], parts={0: F.lit(True)})
+    assert any("MapInArrow" in plan for plan in seen) and not any("posexplode" in plan for plan in seen)

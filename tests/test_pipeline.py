@@ -166,3 +166,34 @@ def test_session_keeps_what_is_set(spark):
         assert get_spark("local[2]").conf.get("spark.sql.shuffle.partitions") == "200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_rounding_equals_the_one_of_decimals(spark):
+    from pyspark.sql import functions as F
+
+    from hearth.plans.common import round6
+
+    rng = np.random.default_rng(6)
+    values = [*(rng.normal(size=2000) * 10.0 ** rng.integers(-8, 12, 2000)).tolist(), *[(k + 0.5) / 1e6 for k in range(-300, 300)], *[k / 1e6 for k in range(-50, 50)],
+              0.0, -0.0, 1e15, -1e300, float("inf"), float("-inf"), float("nan"), None, 0.1 + 0.2, 2.5e-7, -2.5e-7, 39999999.9999995]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(round6(F.col("x")).alias("a"), F.round("x", 6).alias("b"))
+    assert got.where("not (a <=> b)").isEmpty()
+    assert "CASE" in got._jdf.queryExecution().optimizedPlan().toString()  # decimals only where they are needed
+
+
+def test_faulty_listings_come_from_one_pass(spark):
+    d = fx.properties_dirty(spark, SF)
+    assert "Union" not in d._jdf.queryExecution().optimizedPlan().toString()
+    p = fx.properties(spark, SF)
+    want = {r["id"]: r["n"] * (1 + (r["id"] % 101 == 0)) for r in p.groupBy("id").agg({"*": "count"}).toDF("id", "n").collect()}
+    assert {r["id"]: r["n"] for r in d.groupBy("id").agg({"*": "count"}).toDF("id", "n").collect()} == want
+
+
+def test_integers_are_coerced_without_doubles(spark):
+    from hearth.operators import standardise as S
+
+    df = spark.createDataFrame([(5, 2 ** 31, 1.5, "3.6"), (None, -2 ** 31, float("inf"), "x")], "a int, b bigint, c double, d string")
+    out = S.coerce_types(df, {"a": "int", "b": "int", "c": "int", "d": "int"})
+    assert [tuple(r) for r in out.collect()] == [(5, None, 1, 3), (None, -2 ** 31, None, None)] and [t for _, t in out.dtypes] == ["int"] * 4
+    assert "double" not in out.select("a", "b")._jdf.queryExecution().optimizedPlan().toString()
