@@ -8,6 +8,7 @@ again, until it holds one value.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,9 @@ COLUMN, PROB, VALUE = "column", "q", "value"
 PER_OCTAVE = 64
 DIVIDE = 1 << 13
 BY_VALUE = 20_000
-# Rows that are sorted at once where no keys part them.
+# Rows that are sorted at once where no keys part them, and the brackets that are looked for one by one.
 CHUNK = 1 << 17
+FEW = 6
 
 
 def numeric_input(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -41,9 +43,8 @@ def _first_bin(v: Column) -> Column:
 
 
 def _first_bins(v: np.ndarray) -> np.ndarray:
-    """``_first_bin`` of an array."""
-    size = np.where(np.isinf(v), 1025.0, np.log2(np.where(v == 0, 1.0, np.abs(v))))
-    return np.sign(v) * (np.floor(PER_OCTAVE * size) + 2048 * PER_OCTAVE)
+    """Bins of the same kind for sorted values: ``PER_OCTAVE`` of equal width in every doubling, the head of a double's bits."""
+    return ((v + 0.0).view(np.int64) >> 53 - PER_OCTAVE.bit_length()).astype(np.float64)
 
 
 def _sorted_counts(cells: Sequence[tuple[int, int]], parts: int, brackets: Sequence[tuple[int, float, float, int]] | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -62,10 +63,14 @@ def _sorted_counts(cells: Sequence[tuple[int, int]], parts: int, brackets: Seque
             column = chunk.column(k).to_numpy()
             for bits, rows in ((m & every, rows) for m, rows in where.items() if m & every):
                 v = column[rows]
-                v = v[~np.isnan(v)] if brackets is None else v[(v >= min(b[1] for b in mine)) & (v <= max(b[2] for b in mine))]
-                v = np.sort(v)
+                few = brackets is not None and len(mine) <= FEW
+                if not few:
+                    v = np.sort(v[~np.isnan(v)] if brackets is None else v[(v >= min(b[1] for b in mine)) & (v <= max(b[2] for b in mine))])
                 for _, at, hi, inside in mine:
-                    part = v if at is None else v[np.searchsorted(v, at, "left"):np.searchsorted(v, hi, "right")]
+                    if few:  # a bracket holds few of the values: only they are sorted
+                        part = np.sort(v[(v >= at) & (v <= hi)])
+                    else:
+                        part = v if at is None else v[np.searchsorted(v, at, "left"):np.searchsorted(v, hi, "right")]
                     if not len(part):
                         continue
                     key = _first_bins(part) if at is None else part if inside <= BY_VALUE else np.minimum(np.floor((part - at) / (hi - at) * DIVIDE), DIVIDE - 1)
@@ -90,9 +95,14 @@ def _sorted_counts(cells: Sequence[tuple[int, int]], parts: int, brackets: Seque
     return run
 
 
-def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int, cells: tuple[DataFrame, list[tuple[int, int]]] | None = None) -> DataFrame:
+def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int, cells: tuple[DataFrame, list[tuple[int, int]]] | None = None,
+               levels: Column | None = None) -> DataFrame:
     """(by..., i, part, q, value) over rows (by..., i, m, v): value v of column i in the parts whose bits m has.
 
+    With ``levels``, an array of the groups (``by`` as a struct, ``_lvl`` the last) that a row with
+    the other keys belongs to, the rows have those other keys only: it is the first counts that are
+    dealt to both levels, and the rows inside of the brackets.
+
     ``cells`` has the same rows side by side, if no keys part them: (m, a column for each cell) and what ``_sorted_counts`` calls cells.
 
     Each round counts the rows of the open brackets by bin, in all parts at once
@@ -111,8 +121,27 @@ def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int, c
         runs = wide.mapInArrow(_sorted_counts(each, parts, open_), schema)
         return runs.groupBy("i", "at", "bin").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(c).alias(c) for c in ("inside", *[f"n{p}" for p in range(parts)])])
 
-    def counted_by_key(rows: DataFrame, key: Column) -> DataFrame:
-        return rows.withColumn("bin", key).groupBy(*by, "i", "at", "bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("inside"), *counts)
+    def counted_by_key(rows: DataFrame, key: Column, over: list[str]) -> DataFrame:
+        return rows.withColumn("bin", key).groupBy(*over, "i", "at", "bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("inside"), *counts)
+
+    def first_counts() -> DataFrame:
+        if levels is None:
+            return counted_by_key(rows, _first_bin(F.col("v")), by)
+        each = counted_by_key(rows, _first_bin(F.col("v")), by[:-1])
+        numbers = ["lo", "hi", "inside", *[f"n{p}" for p in range(parts)]]
+        dealt = each.select("i", "at", "bin", *numbers, F.explode(F.filter(levels, lambda x: x.isNotNull())).alias("g")).select("i", "at", "bin", *numbers, "g.*")
+        return dealt.groupBy(*by, "i", "at", "bin").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *[F.sum(c).alias(c) for c in numbers[2:]])
+
+    def within(rows: DataFrame, brackets: DataFrame, dealt: bool) -> DataFrame:
+        """(by..., i, m, v, at, hi, inside) of the rows in a bracket of their group."""
+        a, kept = rows.alias("a"), [F.col(f"a.{c}") for c in ("i", "m", "v")]
+        found = []
+        for mine, on in ([(brackets, by)] if dealt else [(brackets.where("_lvl = 0"), by[:-1]), (brackets.where("_lvl = 1"), [])]):
+            b = mine.alias("b")
+            equal = _all(F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on)
+            found.append(a.join(b, equal & (F.col("a.i") == F.col("b.i")) & F.col("a.v").between(F.col("b.at"), F.col("b.hi")))
+                         .select(*[F.col(f"b.{c}") for c in by], *kept, "b.at", "b.hi", "b.inside"))
+        return reduce(DataFrame.unionByName, found)
 
     def bins(counted: DataFrame) -> DataFrame:
         """(by..., i, at, part, n, lo, hi, inside, upto): a bracket's bins by value, with running counts."""
@@ -134,19 +163,26 @@ def _quantiles(long: DataFrame, probs: list[float], by: list[str], parts: int, c
                                     F.col("b.lo").alias("at"), F.col("b.hi").alias("hi"), F.col("b.inside").alias("inside"))
 
     rows = long.withColumn("at", F.lit(0.0))
-    found = materialise(bins(counted_side_by_side(None) if cells else counted_by_key(rows, _first_bin(F.col("v")))), "quantile-bins")
+    found = materialise(bins(counted_side_by_side(None) if cells else first_counts()), "quantile-bins")
     totals = found.groupBy(*by, "i", "part").agg(F.sum("n").alias("n"))
     wanted = totals.select(*by, "i", "part", "n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("q")).withColumn("h", (F.col("n") - 1) * F.col("q"))
     wanted = wanted.select(*by, "i", "part", "q", "h", F.explode(F.array(F.floor("h"), F.ceil("h"))).alias("k"), F.lit(0).cast("bigint").alias("below"), F.lit(0.0).alias("at"))
     asked = materialise(ranks(wanted, found), "quantile-ranks")
     solved = asked.where(F.col("at") == F.col("hi"))
+    dealt = levels is None
     while not (open_ := asked.where(F.col("at") < F.col("hi"))).isEmpty():
         brackets = open_.select(*by, "i", "at", "hi", "inside").distinct()
-        a, b = long.alias("a"), brackets.alias("b")
-        rows = a.join(b, same("a", "b") & (F.col("a.i") == F.col("b.i")) & F.col("a.v").between(F.col("b.at"), F.col("b.hi"))).select("a.*", "b.at", "b.hi", "b.inside")
-        place = F.least(F.floor((F.col("v") - F.col("at")) / (F.col("hi") - F.col("at")) * DIVIDE), F.lit(DIVIDE - 1)).cast("double")
-        key = F.when(F.col("inside") <= BY_VALUE, F.col("v")).otherwise(place)
-        found = materialise(bins(counted_side_by_side(brackets) if cells else counted_by_key(rows, key)), "quantile-bins")
+        if cells:
+            counted = counted_side_by_side(brackets)
+        else:
+            rows = within(long, brackets, dealt)
+            if not brackets.where(F.col("inside") > BY_VALUE).isEmpty():
+                # another round will come: it need not look at all rows again
+                rows = materialise(rows, "quantile-rows")
+                long, dealt = rows.drop("at", "hi", "inside"), True
+            place = F.least(F.floor((F.col("v") - F.col("at")) / (F.col("hi") - F.col("at")) * DIVIDE), F.lit(DIVIDE - 1)).cast("double")
+            counted = counted_by_key(rows, F.when(F.col("inside") <= BY_VALUE, F.col("v")).otherwise(place), by)
+        found = materialise(bins(counted), "quantile-bins")
         asked = materialise(ranks(open_, found), "quantile-ranks")
         solved = solved.unionByName(asked.where(F.col("at") == F.col("hi")))
     ends = solved.groupBy(*by, "i", "part", "q", "h").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
@@ -193,13 +229,12 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     # a plain array of values: an array of structs would be built by slow code
     flat = wide.select(*by, everywhere.alias("m"), F.posexplode(F.array(*[number(c) for *_, c in cells])).alias("pos", "v")).where("v is not null")
     long = flat.select(*by, at(0).alias("i"), F.col("m").bitwiseAND(at(1)).cast("bigint").alias("m"), "v").where("m != 0")
-    keys = list(by)
+    keys, levels = list(by), None
     if by:
         known = _all(F.col(k).isNotNull() for k in by)  # like pandas groupby: rows without a key join no group
         if with_total:
             nothing = [F.lit(None).cast(wide.schema[k].dataType).alias(k) for k in by]
             levels = F.array(F.when(known, F.struct(F.lit(0).alias("_lvl"), *by)), F.struct(F.lit(1).alias("_lvl"), *nothing))
-            long = long.select("i", "m", "v", F.explode(F.filter(levels, lambda x: x.isNotNull())).alias("g")).select("i", "m", "v", "g.*")
         else:
             long = long.where(known)
     if with_total:
@@ -209,7 +244,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     side_by_side = None
     if not keys:
         side_by_side = (wide.select(everywhere.cast("bigint").alias("m"), *[number(c).alias(f"v{k}") for k, (*_, c) in enumerate(cells)]), [(i, bits) for i, bits, _ in cells])
-    out = _quantiles(long, probs, keys, len(mask), side_by_side)
+    out = _quantiles(long, probs, keys, len(mask), side_by_side, levels)
     named = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("i") + 1).alias(COLUMN)
     return materialise(out.select(*keys, *([F.col("part").alias("_part")] if parts is not None else []), named, PROB, VALUE), "quantiles")
 

@@ -10,7 +10,7 @@ from ..operators import features as FE
 from ..operators import scoring as SC
 from ..sources import fixtures as fx
 from . import sqlbits as Q
-from .common import enriched, r6
+from .common import enriched, r6, round6
 from .registry import register
 
 AGE_SQL = "CASE WHEN sale_year - yr_built IS NOT NULL THEN greatest(sale_year - yr_built, 0) END"
@@ -142,7 +142,7 @@ def q_feature_frame(spark: SparkSession, sf: str) -> DataFrame:
     p = fx.properties(spark, sf)
     e = FE.engineer(p, FE.fit_engineer(p))
     rounded = {"basement_ratio", "school_accessibility", "market_demand_index", "size_vs_neighborhood"}
-    return e.select(*[r6(c) if c in rounded else F.col(c) for c in e.columns])
+    return e.select(*[round6(F.col(c)).alias(c) if c in rounded else F.col(c) for c in e.columns])
 
 
 # ---------------------------------------------------------------------- scoring
