@@ -2,8 +2,10 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from hearth.operators import aggregates as A
+from hearth.operators import encoders as EN
 from hearth.session import materialise
 
 
@@ -32,3 +34,14 @@ def test_overall_quantiles_are_not_counted_row_by_row_again(spark, monkeypatch):
     levels = next(line for line in bins[0].splitlines() if "Generate explode" in line and "_lvl" in line)
     assert bins[0].index("Aggregate") < bins[0].index(levels) < bins[0].rindex("Aggregate")  # the counts are dealt to the levels, not the rows
     assert len(bins) > 2 and not any("posexplode" in plan for plan in bins[1:-1])
+
+
+def test_fit_writes_only_the_columns_that_it_reads(spark, monkeypatch):
+    rows = [(i, 98000 + i % 3, 100.0 + i, 50.0 + i % 7, i % 5, f"note {i}") for i in range(60)]
+    df = materialise(spark.createDataFrame(rows, "id bigint, zipcode int, price double, sqft_living double, grade int, remark string"), "fit-rows")
+    wrote, plain = {}, EN.materialise
+    monkeypatch.setattr(EN, "materialise", lambda d, name: wrote.setdefault(name, d.columns) and plain(d, name))
+    state = EN.fit_features(df)
+    assert set(wrote["engineered"]) == {"sqft_living", "market_demand_index", "size_vs_neighborhood", "grade", "zipcode", "price"}
+    assert state.scaler["sqft_living"] == (float(np.median([r[3] for r in rows])), float(np.subtract(*np.quantile([r[3] for r in rows], [0.75, 0.25]))))
+    assert state.target[0].table.agg(F.count("*")).first()[0] == 3
