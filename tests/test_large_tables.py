@@ -1,5 +1,7 @@
 """The steps of the fit whose cost grew fastest: quantile rounds by key, and what is written."""
 
+import os
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -45,3 +47,21 @@ def test_fit_writes_only_the_columns_that_it_reads(spark, monkeypatch):
     assert set(wrote["engineered"]) == {"sqft_living", "market_demand_index", "size_vs_neighborhood", "grade", "zipcode", "price"}
     assert state.scaler["sqft_living"] == (float(np.median([r[3] for r in rows])), float(np.subtract(*np.quantile([r[3] for r in rows], [0.75, 0.25]))))
     assert state.target[0].table.agg(F.count("*")).first()[0] == 3
+
+
+def test_cleaning_and_fits_leave_no_table_that_nothing_reads(spark):
+    """The rows of the chain are on disk twice at most, compressed; what the next table was made from is gone."""
+    from hearth.operators import cleaning as CL
+    from hearth.session import ensure_checkpoint_dir
+    from hearth.sources import fixtures as fx
+
+    top = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:").replace("///", "/"), "tables")
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    rows = CL.clean_listings(fx.properties_dirty(spark, "/root/testdata/sf0.001"))
+    kept = rows.count()
+    EN.fit_feature_parts(rows.drop("noise"), {0: F.col("id") % 2 == 0, 1: F.lit(True)})
+    left = sorted(set(os.listdir(top)) - before)
+    names = {n.rsplit("-", 1)[0] for n in left}
+    assert kept > 5000 and not names & {"clean-structure", "iforest-input", "part-rows"} and {"clean-filled", "iforest-scored", "engineered"} <= names
+    scored = next(n for n in left if n.startswith("iforest-scored"))
+    assert any(f.endswith(".zstd.parquet") for f in os.listdir(f"{top}/{scored}"))
